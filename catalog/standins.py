@@ -139,7 +139,7 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         coded.where(F.col("species_code").isNotNull() & (F.col("species_code") != "99"))
         .groupBy("species_code")
-        .agg((F.min("p_retailprice") / 100000).alias("a"), F.min("p_type").alias("category"))
+        .agg((F.min("p_retailprice") / 99991).alias("a"), F.min("p_type").alias("category"))
         .select(
             "species_code", "a", F.lit(3.0).alias("b"), half.alias("minlength"), (half + 20).alias("maxlength"), "category"
         )

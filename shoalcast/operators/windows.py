@@ -72,7 +72,9 @@ def ecdf(df: DataFrame, value: str, buckets: int = 256, out: str = "ecdf") -> Da
     cuts = counts.agg(
         F.array_distinct(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 10_000)).alias("c")
     ).scalar()
-    placed = counts.withColumn("__b", F.size(F.filter(cuts, lambda c: c < F.col(value))))
+    placed = counts.withColumn("__cuts", cuts).withColumn(
+        "__b", F.size(F.filter("__cuts", lambda c: c < F.col(value)))
+    ).drop("__cuts")
     totals = placed.groupBy("__b").agg(F.sum("n").alias("__total"))
     # One row per stretch, at most ``buckets`` rows.
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
