@@ -418,7 +418,7 @@ oracle(
 oracle(
     "price_ecdf",
     """SELECT price, n, round(sum(n) OVER (ORDER BY price) / sum(n) OVER (), 9) AS ecdf FROM (
-    SELECT round(l_extendedprice / l_quantity, 2) AS price, count(*) AS n FROM lineitem GROUP BY 1)""",
+    SELECT floor(l_extendedprice / l_quantity) AS price, count(*) AS n FROM lineitem GROUP BY 1)""",
 )
 
 # Joins -------------------------------------------------------------------------------------

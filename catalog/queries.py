@@ -214,7 +214,7 @@ def running_share(spark, d):
 @query
 def price_ecdf(spark, d):
     prices_per_unit = S.table(spark, d, "lineitem").select(
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("price")
+        F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price")
     )
     return rounded(windows.ecdf(prices_per_unit, "price"), 9, "ecdf")
 

@@ -37,10 +37,15 @@ def _joined(
     return left.join(right, condition, how).drop(*renamed.values())
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of the rows: never more than ``1 / share`` of them."""
+def hot_keys(counts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame | None:
+    """Keys holding at least ``share`` of the rows, from rows per key (``__n``); None if there are none.
+
+    No more than ``1 / share`` keys can hold that much, so the driver takes them as a local table.
+    """
     total = counts.agg(F.sum("__n").alias("t")).scalar()
-    return counts.where(F.col("__n") >= total * share).select(*keys)
+    found = counts.where(F.col("__n") >= total * share).select(*keys)
+    rows = found.collect()
+    return found.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
 def salted_join(
@@ -63,20 +68,29 @@ def salted_join(
     """
     if counts is None:
         counts = facts.groupBy(*left_on).agg(F.count(F.lit(1)).alias("__n"))
-    hot = hot_keys(counts, left_on).withColumn("__hot", F.lit(True))
     if not null_safe:
-        hot = hot.dropna(subset=list(left_on))
-    flagged_facts = _joined(facts, F.broadcast(hot), left_on, left_on, "left", null_safe)
-    missing = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in left_on])
-    spread_out = F.col("__hot").isNotNull() if null_safe else F.col("__hot").isNotNull() | missing
-    salted_facts = flagged_facts.withColumn(
-        "__salt", F.when(spread_out, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
-    ).drop("__hot")
-
-    hot_lookup = hot.withColumnsRenamed(dict(zip(left_on, right_on))) if list(left_on) != list(right_on) else hot
-    flagged_lookup = _joined(lookup, F.broadcast(hot_lookup), right_on, right_on, "left", null_safe)
-    copies = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = flagged_lookup.withColumn("__rsalt", F.explode(copies)).drop("__hot")
+        counts = counts.dropna(subset=list(left_on))
+    hot = hot_keys(counts, left_on)
+    zero = F.lit(0)
+    bucket = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    missing = F.lit(False) if null_safe else reduce(lambda x, y: x | y, [F.col(c).isNull() for c in left_on])
+    if hot is None:
+        salted_facts = facts.withColumn("__salt", F.when(missing, bucket).otherwise(zero))
+        salted_lookup = lookup.withColumn("__rsalt", zero)
+    else:
+        marked = hot.withColumn("__hot", F.lit(True))
+        salted_facts = (
+            _joined(facts, F.broadcast(marked), left_on, left_on, "left", null_safe)
+            .withColumn("__salt", F.when(F.col("__hot").isNotNull() | missing, bucket).otherwise(zero))
+            .drop("__hot")
+        )
+        marked_lookup = marked.toDF(*right_on, "__hot")
+        copies = F.when(F.col("__hot").isNotNull(), F.sequence(zero, F.lit(salts - 1))).otherwise(F.array(zero))
+        salted_lookup = (
+            _joined(lookup, F.broadcast(marked_lookup), right_on, right_on, "left", null_safe)
+            .withColumn("__rsalt", F.explode(copies))
+            .drop("__hot")
+        )
     # The salt is part of the key; it is never null, so both equality kinds agree on it.
     return _joined(
         salted_facts, salted_lookup, [*left_on, "__salt"], [*right_on, "__rsalt"], how, null_safe

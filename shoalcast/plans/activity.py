@@ -14,6 +14,7 @@ from shoalcast.operators.joins import asof_latest, lookup_join, without_dates
 from shoalcast.operators.reshape import complete, densify_days, unpivot_columns
 from shoalcast.operators.windows import first_per_key, forward_fill
 from shoalcast.schemas import CENSUS_CODES
+from shoalcast.session import cut_lineage
 
 # Before any trip: the date of a registry row that holds for all times.
 ALWAYS = "0001-01-01"
@@ -63,8 +64,11 @@ def _assign_asof(trips: DataFrame, boats: DataFrame) -> DataFrame:
     several = sizes.where(~single).select("imei")
     dated = known.join(several, "imei", "left_semi").withColumn("unknown", F.lit(False))
     history = start.unionByName(dated)
-    one_per_trip = first_per_key(
-        trips, ["trip_id_pds"], [F.col("end").desc_nulls_last(), F.col("download_date_pds").asc_nulls_last()]
+    # Written once: the join reads it for its dates, its hot keys and its rows.
+    one_per_trip = cut_lineage(
+        first_per_key(
+            trips, ["trip_id_pds"], [F.col("end").desc_nulls_last(), F.col("download_date_pds").asc_nulls_last()]
+        )
     )
     assigned = asof_latest(
         one_per_trip,
@@ -153,7 +157,8 @@ def format_vessel_activity(
         days = days.unionByName(seen, allowMissingColumns=True)
     else:
         days = days.withColumn("last_seen", F.lit(None).cast("boolean"))
-    days = days.where(F.col("trip_end_date_pds").isNotNull())
+    # One small row per boat and active day; the fill and the day grid read their input twice.
+    days = cut_lineage(days.where(F.col("trip_end_date_pds").isNotNull()))
     filled = forward_fill(
         days,
         ["imei"],
@@ -161,7 +166,7 @@ def format_vessel_activity(
         ["boat_id_pds", "boat_code", "municipality_name"],
         block=F.trunc("trip_end_date_pds", "month"),
     ).where(F.col("boat_code").isNotNull())
-    panel = densify_days(filled, ["imei", "boat_id_pds"], ["boat_code", "municipality_name"], "trip_end_date_pds")
+    panel = densify_days(cut_lineage(filled), ["imei", "boat_id_pds"], ["boat_code", "municipality_name"], "trip_end_date_pds")
     panel = panel.withColumn(
         "individual_boat", F.concat_ws(" ", F.coalesce("imei", F.lit("NA")), F.coalesce("boat_id_pds", F.lit("NA")))
     )
@@ -180,9 +185,10 @@ def census_long(municipalities: DataFrame) -> DataFrame:
 def tracked_boats(panel: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct boats per observed combination of the keys, zero where none.
 
-    Boats are counted before the grid is completed, so the grid meets one row per cell.
+    Boats are counted before the grid is completed, so the grid meets one row per cell.  The
+    counts are written once: the levels of every key and the grid are read from them.
     """
-    counts = panel.groupBy(*keys).agg(F.countDistinct("boat_id_pds").alias("n_boats"))
+    counts = cut_lineage(panel.groupBy(*keys).agg(F.countDistinct("boat_id_pds").alias("n_boats")))
     return complete(counts, keys).na.fill(0, ["n_boats"])
 
 
