@@ -204,6 +204,10 @@ CTES = {
         FROM orders JOIN stations ON CAST(o_custkey AS VARCHAR) = station_code WHERE o_orderstatus IN ('F', 'O')) GROUP BY ALL""",
 }
 
+# Kept as tables while a query runs: DuckDB 2.0 stops with an internal error when dictionary
+# strings of the scan reach the draws.
+STORED = {"stations", "order_trips"}
+
 CHAINS = {
     "tracked": ["pts", "trp", "tracked"],
     "catch": ["species", "answers", "grp", "lines", "cleaned", "flagged_lines", "catch"],
@@ -221,7 +225,8 @@ def sql(select: str, *ctes: str, **extra: str) -> str:
     names: list[str] = []
     for cte in ctes:
         names += [n for n in CHAINS.get(cte, [cte]) if n not in names]
-    parts = [f"{n} AS ({CTES[n]})" for n in names] + [f"{n} AS ({body})" for n, body in extra.items()]
+    parts = [f"{n} AS {'MATERIALIZED ' if n in STORED else ''}({CTES[n]})" for n in names]
+    parts += [f"{n} AS ({body})" for n, body in extra.items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + select
 
 
@@ -630,7 +635,7 @@ oracle(
     "catch_features",
     """SELECT record_id, trip_imei, municipality_name, boat_type, trip_gear,
     CAST(date_trunc('month', trip_date) AS DATE) AS period_static, CAST(month(trip_date) AS VARCHAR) AS period_seasonal,
-    strftime(trip_date, '%a') AS wday, round_even(trip_catch * 10, 0) AS trip_catch_po,
+    strftime(trip_date, '%a') AS wday, round_even(round(trip_catch, 6) * 10, 0) AS trip_catch_po,
     round_even(pow(trip_catch * 1000, 1.0::DOUBLE / 3.0), 0) AS trip_catch_po_3,
     round_even(pow(trip_value * 1000, 1.0::DOUBLE / 3.0), 0) AS trip_value_po_3
     FROM tagged JOIN stations ON trip_landing_site = station_code

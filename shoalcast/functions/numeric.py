@@ -42,7 +42,8 @@ def cube_root_units(value: Column) -> Column:
 
 
 def tenth_units(value: Column) -> Column:
-    return F.bround(value * 10, 0)
+    """Tenths, rounded half to even.  Sums carry noise from their order, so ties are settled at six digits."""
+    return F.bround(F.round(value, 6) * 10, 0)
 
 
 def from_cube_root(units: Column) -> Column:
