@@ -456,7 +456,8 @@ QUERIES["q_value_cell_means"] = cell_means("trip_value_po_3")
 
 @query
 def bootstrap_draws(spark, d):
-    resampled = draws.with_draws(S.order_trips(spark, d), "record_id", S.DRAWS, "md5")
+    trips_in = S.order_trips(spark, d).select("record_id", "municipality_name", "boat_type", "trip_catch_po_3")
+    resampled = draws.with_draws(trips_in, "record_id", S.DRAWS, "md5")
     keys = ["municipality_name", "boat_type", "draw"]
     return rounded(shrinkage.cell_moments(resampled, keys, "trip_catch_po_3", "draw_weight"), 5)
 
@@ -467,13 +468,25 @@ def trips_by_draw(spark, d):
 
 
 def all_totals(spark, d):
-    order_trips = S.order_trips(spark, d)
+    order_trips = cut_lineage(S.order_trips(spark, d))
     return totals.national_totals(
         S.order_cells(spark, d), order_trips, order_trips, order_trips, S.municipalities(spark, d),
         S.FIRST_MONTH, S.LAST_MONTH, S.DRAWS, hash_name="md5",
     )
 
 
+def no_gear(spark, d):
+    order_trips = cut_lineage(S.order_trips(spark, d))
+    return totals.national_totals_without_gear(trips_by_draw(spark, d), order_trips, order_trips, S.DRAWS, "md5")
+
+
+def with_gear(spark, d):
+    order_trips = cut_lineage(S.order_trips(spark, d))
+    return totals.national_totals_with_gear(
+        trips_by_draw(spark, d), order_trips, order_trips, order_trips, S.DRAWS, hash_name="md5"
+    )
+
+
 ESTIMATE = [*totals.CELL, "draw", "n_trips", "catch_weight", "catch_value", "total_weight", "total_value"]
 
 
@@ -484,12 +497,12 @@ def expected_trips(spark, d):
 
 @query
 def totals_no_gear(spark, d):
-    return rounded(all_totals(spark, d).without_gear.select(*ESTIMATE), 3)
+    return rounded(no_gear(spark, d).select(*ESTIMATE), 3)
 
 
 @query
 def totals_gear(spark, d):
-    return rounded(all_totals(spark, d).with_gear.select(*ESTIMATE, "trip_gear", "gear_prop"), 3)
+    return rounded(with_gear(spark, d).select(*ESTIMATE, "trip_gear", "gear_prop"), 3)
 
 
 @query
@@ -499,9 +512,7 @@ def totals_by_draw(spark, d):
 
 @query
 def interval_summary(spark, d):
-    per_place = aggregates.totals_by_draw(
-        totals.between(all_totals(spark, d).without_gear, "1996-01-01"), ["municipality_name"]
-    )
+    per_place = aggregates.totals_by_draw(totals.between(no_gear(spark, d), "1996-01-01"), ["municipality_name"])
     return rounded(aggregates.interval_summary(per_place, ["municipality_name"], "total_weight"), 2)
 
 

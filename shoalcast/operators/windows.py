@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoalcast.session import cut_lineage
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each key in the given order.
@@ -61,22 +63,19 @@ def running_share(df: DataFrame, order: str, value: str, share: str = "share", r
     return shares.withColumn(running, F.sum(share).over(frame))
 
 
-def ecdf(df: DataFrame, value: str, buckets: int = 256, out: str = "ecdf") -> DataFrame:
+def ecdf(df: DataFrame, value: str, buckets: int | None = None, out: str = "ecdf") -> DataFrame:
     """Empirical distribution function, one row per distinct value.
 
-    Equal values are counted before any ordering, then the values are cut into ``buckets``
-    ordered stretches at approximate quantiles; counts run inside a stretch and are shifted
-    by the total of the stretches before it.  The result is exact.
+    Equal values are counted before any ordering, then the counts are range partitioned and
+    written with their partition number; counts run inside a partition and are shifted by
+    the total of the partitions before it.  No task sees more than its range.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    cuts = counts.agg(
-        F.array_distinct(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 10_000)).alias("c")
-    ).scalar()
-    placed = counts.withColumn("__cuts", cuts).withColumn(
-        "__b", F.size(F.filter("__cuts", lambda c: c < F.col(value)))
-    ).drop("__cuts")
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written once, so that the running counts and the totals see the same ranges.
+    placed = cut_lineage(counts.repartitionByRange(buckets, value).withColumn("__b", F.spark_partition_id()))
     totals = placed.groupBy("__b").agg(F.sum("n").alias("__total"))
-    # One row per stretch, at most ``buckets`` rows.
+    # One row per range, at most ``buckets`` rows.
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "__b",

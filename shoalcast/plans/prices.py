@@ -61,7 +61,7 @@ def species_price_draws(trips_wide: DataFrame, draws: int = 100, hash_name: str
     # Trips are drawn before they are split into memberships: one hash per trip and draw.
     priced = trips_wide.where(F.col("trip_price") > 0)
     resampled = memberships(with_draws(priced.select(*MEMBERSHIP_INPUT), "record_id", draws, hash_name), ["draw", "draw_weight"])
-    cells = membership_moments(resampled, ["species_code", "draw"], "log_price", "share", "draw_weight")
+    cells = cut_lineage(membership_moments(resampled, ["species_code", "draw"], "log_price", "share", "draw_weight"))
     estimates = shrunk_means(cells, ["draw"]).select("species_code", "draw", "estimate")
     return estimates, overall_mean(cells, ["draw"]).select("draw", "overall")
 

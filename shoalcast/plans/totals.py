@@ -29,6 +29,7 @@ from shoalcast.operators.shrinkage import (
     shrunk_shares,
 )
 from shoalcast.schemas import BOAT_CODES
+from shoalcast.session import cut_lineage
 
 CELL = ["municipality_name", "boat_type", "period_static"]
 
@@ -43,18 +44,22 @@ class Draws:
     fallback_keys: list[str]
 
 
-def activity_draws(cells: DataFrame, draws: int, hash_name: str = "xxhash64") -> Draws:
-    """Activity rate per municipality, period and boat type; boats are resampled."""
-    resampled = with_draws(cells, "individual_boat", draws, hash_name)
-    keys = ["municipality_name", "period_static", "boat_type"]
-    sums = (
-        resampled.withColumnRenamed("boat_code", "boat_type")
-        .groupBy(*keys, "draw")
-        .agg(
+def _drawn_cells(cells: DataFrame, keys: Sequence[str], draws: int, hash_name: str) -> DataFrame:
+    """Days and trips per key and draw; written once, as cells and hyper-parameters read them."""
+    narrow = cells.select("individual_boat", *keys, "n_days", "n_trips")
+    resampled = with_draws(narrow, "individual_boat", draws, hash_name)
+    return cut_lineage(
+        resampled.groupBy(*keys, "draw").agg(
             F.sum(F.col("n_days") * F.col("draw_weight")).alias("n_days"),
             F.sum(F.col("n_trips") * F.col("draw_weight")).alias("n_trips"),
         )
     )
+
+
+def activity_draws(cells: DataFrame, draws: int, hash_name: str = "xxhash64") -> Draws:
+    """Activity rate per municipality, period and boat type; boats are resampled."""
+    keys = ["municipality_name", "period_static", "boat_type"]
+    sums = _drawn_cells(cells.withColumnRenamed("boat_code", "boat_type"), keys, draws, hash_name)
     by = ["boat_type", "draw"]
     return Draws(
         shrunk_rates(sums, by).select(*keys, "draw", "estimate"),
@@ -68,8 +73,8 @@ def mean_draws(
     features: DataFrame, response: str, keys: Sequence[str], draws: int, hash_name: str = "xxhash64"
 ) -> Draws:
     """Mean cube-root catch or value per cell; trips are resampled."""
-    resampled = with_draws(features, "record_id", draws, hash_name)
-    cells = cell_moments(resampled, [*keys, "draw"], response, "draw_weight")
+    resampled = with_draws(features.select("record_id", *keys, response), "record_id", draws, hash_name)
+    cells = cut_lineage(cell_moments(resampled, [*keys, "draw"], response, "draw_weight"))
     return Draws(
         shrunk_means(cells, ["draw"]).select(*keys, "draw", "estimate"),
         overall_mean(cells, ["draw"]).select("draw", "overall"),
@@ -80,9 +85,9 @@ def mean_draws(
 
 def gear_draws(trips: DataFrame, draws: int, kappa: float = 10.0, hash_name: str = "xxhash64") -> Draws:
     """Gear shares per municipality and boat type; trips are resampled."""
-    resampled = with_draws(trips, "record_id", draws, hash_name)
     keys = ["municipality_name", "boat_type"]
-    counts = resampled.groupBy(*keys, "trip_gear", "draw").agg(F.sum("draw_weight").alias("n"))
+    resampled = with_draws(trips.select("record_id", *keys, "trip_gear"), "record_id", draws, hash_name)
+    counts = cut_lineage(resampled.groupBy(*keys, "trip_gear", "draw").agg(F.sum("draw_weight").alias("n")))
     parent = ["boat_type", "draw"]
     return Draws(
         shrunk_shares(counts, [*keys, "draw"], parent, "trip_gear", "n", kappa).select(
@@ -159,6 +164,36 @@ def totals_with_gear(trips: DataFrame, gear: Draws, weight: Draws, value: Draws)
     return _products(attach_draws(attach_draws(split, weight, "catch_weight"), value, "catch_value"))
 
 
+def national_totals_without_gear(
+    trips: DataFrame, catch: DataFrame, value: DataFrame, draws: int, hash_name: str = "xxhash64"
+) -> DataFrame:
+    """Expected trips and feature tables to totals by cell and draw, any gear."""
+    return totals_without_gear(
+        trips,
+        mean_draws(catch, "trip_catch_po_3", CELL, draws, hash_name),
+        mean_draws(value, "trip_value_po_3", CELL, draws, hash_name),
+    )
+
+
+def national_totals_with_gear(
+    trips: DataFrame,
+    catch: DataFrame,
+    value: DataFrame,
+    gear: DataFrame,
+    draws: int,
+    kappa: float = 10.0,
+    hash_name: str = "xxhash64",
+) -> DataFrame:
+    """The same, split by the share of each gear."""
+    by_gear = [*CELL, "trip_gear"]
+    return totals_with_gear(
+        trips,
+        gear_draws(gear, draws, kappa, hash_name),
+        mean_draws(catch, "trip_catch_po_3", by_gear, draws, hash_name),
+        mean_draws(value, "trip_value_po_3", by_gear, draws, hash_name),
+    )
+
+
 @dataclass
 class Totals:
     without_gear: DataFrame
@@ -180,19 +215,9 @@ def national_totals(
     """Activity cells, feature tables and the census to totals by cell and draw."""
     grid = prediction_grid(municipalities, first_month, last_month, draws)
     trips = expected_trips(grid, activity_draws(cells, draws, hash_name))
-    by_gear = [*CELL, "trip_gear"]
     return Totals(
-        totals_without_gear(
-            trips,
-            mean_draws(catch, "trip_catch_po_3", CELL, draws, hash_name),
-            mean_draws(value, "trip_value_po_3", CELL, draws, hash_name),
-        ),
-        totals_with_gear(
-            trips,
-            gear_draws(gear, draws, kappa, hash_name),
-            mean_draws(catch, "trip_catch_po_3", by_gear, draws, hash_name),
-            mean_draws(value, "trip_value_po_3", by_gear, draws, hash_name),
-        ),
+        national_totals_without_gear(trips, catch, value, draws, hash_name),
+        national_totals_with_gear(trips, catch, value, gear, draws, kappa, hash_name),
     )
 
 
@@ -236,13 +261,6 @@ def activity_table(
     cells: DataFrame, keys: Sequence[str], draws: int, days: int = 1, hash_name: str = "xxhash64"
 ) -> DataFrame:
     """Trips per boat in ``days`` days by boat code and chosen keys, as intervals."""
-    sums = (
-        with_draws(cells, "individual_boat", draws, hash_name)
-        .groupBy("boat_code", *keys, "draw")
-        .agg(
-            F.sum(F.col("n_days") * F.col("draw_weight")).alias("n_days"),
-            F.sum(F.col("n_trips") * F.col("draw_weight")).alias("n_trips"),
-        )
-    )
+    sums = _drawn_cells(cells, ["boat_code", *keys], draws, hash_name)
     rates = shrunk_rates(sums, ["boat_code", "draw"]).withColumn("value", F.col("estimate") * days)
     return interval_summary(rates, ["boat_code", *keys], "value", (0.05, 0.66, 0.95))
