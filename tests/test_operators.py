@@ -217,3 +217,9 @@ def test_joint_model_and_huber(spark):
     )
     fit = {r["species_code"]: r["log_price"] for r in glm.fit_membership_huber(trips, ["c1", "c2"], ["w1", "w2"], "y", 0.001).collect()}
     assert abs(fit["a"]) < 0.3 and abs(fit["b"] - 2) < 0.3 and "none" not in fit
+
+
+def test_choose_reg_prefers_a_light_penalty_on_clear_effects(spark):
+    data = [(f"g{i % 6}", f"p{i % 4}", 2 + 3 * (i % 6) + i % 2) for i in range(480)]
+    cells = glm.level_cells(spark.createDataFrame(data, "g string, p string, y int"), ["g", "p"], ["y"])
+    assert glm.choose_reg(cells, ["g"], "y", "poisson", [0.001, 50.0]) == 0.001
