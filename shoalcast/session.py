@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,28 +29,25 @@ def build_session(app_name: str = "shoalcast", master: str | None = None, **extr
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a scratch one in local mode if unset."""
-    context = spark.sparkContext
-    folder = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or context.getConf().get("spark.checkpoint.dir")
-        or context.getCheckpointDir()
-    )
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return context.getCheckpointDir()
+    """The folder the cluster names for checkpoints; one in the warehouse if unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shoalcast-written"
+
+
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the file system that holds ``path`` delete it when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For tables several steps read: later jobs prune columns of the written table and a lost
-    executor costs a re-read, not the steps before.
+    executor costs a re-read, not the steps before.  The table goes when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/shoalcast-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
