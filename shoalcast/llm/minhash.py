@@ -28,7 +28,7 @@ SIMILARITY = 0.8
 BANDS = 36
 ROWS = 5
 # Pairs of one round at most, as a multiple of the rows it comes from; more take another round of centres.
-PAIRS_PER_ROW = 4
+PAIRS_PER_ROW = 32
 
 
 def darts(elements: np.ndarray, weights: np.ndarray, text: np.ndarray, until: np.ndarray, k: int, out: np.ndarray) -> None:
@@ -200,7 +200,7 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.any_value("bands").alias("bands"))
         .withColumn("vertex", F.monotonically_increasing_id())
     )
-    members = vertices.select("vertex", "n_shingles", F.explode("bands").alias("band"))
+    members = vertices.select("vertex", "n_shingles", F.posexplode("bands").alias("pos", "band"))
     crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("vertex").alias("centre")).where("n > 1").drop("n")
     # Only buckets with two vertices or more matter from here on.
     buckets = cut_lineage(members.join(crowded, "band"))
@@ -222,12 +222,15 @@ def near_duplicates(
         if not rest[0]:
             break
         buckets = cut_lineage(left.join(mixed.select("band"), "band", "left_semi").drop("label", "centre"))
-        if rest[1] <= max(PAIRS_PER_ROW * rest[0], 10_000):
-            one = buckets.select("band", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"))
-            two = buckets.select("band", F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"))
+        if rest[1] <= max(PAIRS_PER_ROW * rest[0], 100_000):
+            held = buckets.join(vertices.select("vertex", "bands"), "vertex")
+            one = held.select("band", "pos", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"), F.col("bands").alias("ba"))
+            two = held.select("band", F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), F.col("bands").alias("bb"))
+            # A pair comes from the first band it shares only.
+            earlier = F.exists(F.zip_with(F.slice("ba", 1, F.col("pos")), F.slice("bb", 1, F.col("pos")), lambda x, y: x == y), lambda same: same)
             close = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
+            pairs = one.join(two, (one["band"] == two["band"]) & (F.col("a") < F.col("b")) & close & ~earlier).select("a", "b")
             label = labels.select("vertex", "label")
-            pairs = one.join(two, "band").where("a < b").where(close).select("a", "b").distinct()
             pairs = pairs.join(label.select(F.col("vertex").alias("a"), F.col("label").alias("la")), "a", "left")
             pairs = pairs.join(label.select(F.col("vertex").alias("b"), F.col("label").alias("lb")), "b", "left")
             pairs = pairs.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
