@@ -225,11 +225,11 @@ def near_duplicates(
         if rest[1] <= max(PAIRS_PER_ROW * rest[0], 100_000):
             held = buckets.join(vertices.select("vertex", "bands"), "vertex")
             one = held.select("band", "pos", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"), F.col("bands").alias("ba"))
-            two = held.select("band", F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), F.col("bands").alias("bb"))
+            two = held.select(F.col("band").alias("band2"), F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), F.col("bands").alias("bb"))
             # A pair comes from the first band it shares only.
             earlier = F.exists(F.zip_with(F.slice("ba", 1, F.col("pos")), F.slice("bb", 1, F.col("pos")), lambda x, y: x == y), lambda same: same)
             close = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
-            pairs = one.join(two, (one["band"] == two["band"]) & (F.col("a") < F.col("b")) & close & ~earlier).select("a", "b")
+            pairs = one.join(two, (F.col("band") == F.col("band2")) & (F.col("a") < F.col("b")) & close & ~earlier).select("a", "b")
             label = labels.select("vertex", "label")
             pairs = pairs.join(label.select(F.col("vertex").alias("a"), F.col("label").alias("la")), "a", "left")
             pairs = pairs.join(label.select(F.col("vertex").alias("b"), F.col("label").alias("lb")), "b", "left")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalcast.llm import decontaminate, minhash, packing, secrets, toxicity
+from shoalcast.llm import decontaminate, language, minhash, packing, quality, secrets, toxicity
 from shoalcast.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(fold("doc_id", 5) != 0))
+    held = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return language.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "similarity", "rejected")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.findings(docs, *secrets.train(docs))
@@ -76,4 +87,4 @@ FROM d LEFT JOIN hits USING (k) LEFT JOIN items USING (k)
 """,
 }
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op4_secrets, op6_decontamination, op7_toxicity, op10_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_language, op3_quality, op4_secrets, op6_decontamination, op7_toxicity, op10_minhash)}
