@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalcast.llm import decontaminate, language, minhash, packing, quality, secrets, toxicity
+from shoalcast.llm import chat, decontaminate, language, minhash, packing, pages, quality, secrets, suffix_dedup, toxicity
 from shoalcast.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings(docs, *secrets.train(docs))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chat(table(spark, sf_dir, "conversations"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
@@ -60,6 +64,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -87,4 +99,18 @@ FROM d LEFT JOIN hits USING (k) LEFT JOIN items USING (k)
 """,
 }
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_language, op3_quality, op4_secrets, op6_decontamination, op7_toxicity, op10_minhash)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_language,
+        op3_quality,
+        op4_secrets,
+        op5_chat,
+        op6_decontamination,
+        op7_toxicity,
+        op8_suffix_dedup,
+        op9_pages,
+        op10_minhash,
+    )
+}
