@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shoalcast.llm.common import LOWER, SPACE_PARTED, U64, Words, chunks, mix, shingles, u64, utf8
@@ -27,8 +27,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 36
 ROWS = 5
-# Pairs of one round at most, as a multiple of the rows it comes from; more take another round of centres.
-PAIRS_PER_ROW = 32
+# Pairs of one step at most; more are taken in several steps.
+PAIRS_AT_ONCE = 200_000_000
+PAIRS_PER_TASK = 20_000
+ROWS_PER_TASK = 200_000
 
 
 def darts(elements: np.ndarray, weights: np.ndarray, text: np.ndarray, until: np.ndarray, k: int, out: np.ndarray) -> None:
@@ -145,30 +147,41 @@ def shingle_rows(size: int):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(vertex, label) of every vertex in ``edges`` (a, b): the smallest vertex of its component.
+def written(df: DataFrame, *checks) -> tuple[DataFrame, list]:
+    """``df`` written and read back, with its number of rows and the given aggregates taken on the way."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n"), *(c.alias(f"c{i}") for i, c in enumerate(checks))))
+    return out, list(seen.get.values())
+
+
+def tasks(rows: int) -> int:
+    """Tasks for a step over so many short rows."""
+    return max(1, rows // ROWS_PER_TASK)
+
+
+def components(edges: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(vertex, label) of every vertex but the labels in ``edges`` (a, b; about ``n`` rows): the smallest
+    vertex of its component; and their number.
 
     Alternates large-star and small-star steps, with minima aggregated and joined back, so a
     vertex with many neighbours is never gathered.
     """
-    links = cut_lineage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-
-    def state(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-
-    before = state(links)
+    check = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    first = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
+    links, before = written(first.coalesce(tasks(n)), check)
     while before[0]:
+        k = tasks(before[0])
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        links = cut_lineage(small.where("u != v").distinct())
-        after = state(links)
+        nearest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(k)
+        large = both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(k)
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(k)
+        small = large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        small = small.union(least.select("u", F.col("m").alias("v"))).where("u != v").coalesce(k)
+        links, after = written(small.distinct().coalesce(k), check)
         if after == before:
             break
         before = after
-    return links.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("vertex"), "label")
+    return links.select(F.col("u").alias("vertex"), F.col("v").alias("label")), before[0]
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -186,11 +199,9 @@ def near_duplicates(
     """One row for each row of ``docs`` (doc_id, text): doc_id, class_id (the smallest doc_id of its
     group of near duplicates), n_copies (rows with the same shingle set), is_kept.
 
-    Every pair that shares a band is compared or already connected: each bucket compares its
-    members with a centre, and buckets that still hold several groups compare across the groups, by
-    further centres while that would make too many pairs at once.
+    Every pair that shares a band is compared or connected: each bucket first compares its members with
+    one centre, and then those that are no near duplicates of the centre with all others.
     """
-    spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
     signed = cut_lineage(texts.mapInArrow(sign(size, bands, rows), "doc_id long, d1 long, d2 long, n_shingles int, bands array<long>"))
     wordless = signed.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"))
@@ -201,44 +212,28 @@ def near_duplicates(
         .withColumn("vertex", F.monotonically_increasing_id())
     )
     members = vertices.select("vertex", "n_shingles", F.posexplode("bands").alias("pos", "band"))
-    crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("vertex").alias("centre")).where("n > 1").drop("n")
+    crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("vertex", "n_shingles")).alias("centre")).where("n > 1")
     # Only buckets with two vertices or more matter from here on.
-    buckets = cut_lineage(members.join(crowded, "band"))
-    labels = None
-    found = None
-    centre = buckets
-    while True:
-        sizes = centre.where("vertex = centre").select("band", F.col("n_shingles").alias("n_centre"))
-        pairs = centre.join(sizes, "band").where("vertex > centre")
-        if labels is not None:
-            pairs = pairs.where("label != centre_label")
-        close = F.least("n_shingles", "n_centre") >= F.lit(similarity) * F.greatest("n_shingles", "n_centre")
-        pairs = cut_lineage(pairs.where(close).select(F.col("centre").alias("a"), F.col("vertex").alias("b")).distinct())
-        found, labels = settle(docs, vertices, pairs, found, size, similarity)
-        left = with_labels(buckets, labels).where("vertex > centre")
-        groups = left.groupBy("band", "label").agg(F.count(F.lit(1)).alias("m"))
-        mixed = groups.groupBy("band").agg(F.sum("m").alias("n"), F.sum(F.col("m") * F.col("m")).alias("own")).where("n * n > own")
-        rest = mixed.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()
-        if not rest[0]:
-            break
-        buckets = cut_lineage(left.join(mixed.select("band"), "band", "left_semi").drop("label", "centre"))
-        if rest[1] <= max(PAIRS_PER_ROW * rest[0], 100_000):
-            held = buckets.join(vertices.select("vertex", "bands"), "vertex")
-            one = held.select("band", "pos", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"), F.col("bands").alias("ba"))
-            two = held.select(F.col("band").alias("band2"), F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), F.col("bands").alias("bb"))
-            # A pair comes from the first band it shares only.
-            earlier = F.exists(F.zip_with(F.slice("ba", 1, F.col("pos")), F.slice("bb", 1, F.col("pos")), lambda x, y: x == y), lambda same: same)
-            close = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
-            pairs = one.join(two, (F.col("band") == F.col("band2")) & (F.col("a") < F.col("b")) & close & ~earlier).select("a", "b")
-            label = labels.select("vertex", "label")
-            pairs = pairs.join(label.select(F.col("vertex").alias("a"), F.col("label").alias("la")), "a", "left")
-            pairs = pairs.join(label.select(F.col("vertex").alias("b"), F.col("label").alias("lb")), "b", "left")
-            pairs = pairs.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-            found, labels = settle(docs, vertices, cut_lineage(pairs), found, size, similarity)
-            break
-        buckets = cut_lineage(buckets.join(buckets.groupBy("band").agg(F.min("vertex").alias("centre")), "band"))
-        own = labels.select(F.col("vertex").alias("centre"), F.col("label").alias("l2"))
-        centre = with_labels(buckets, labels).join(own, "centre", "left").withColumn("centre_label", F.coalesce("l2", "centre")).drop("l2")
+    crowded = crowded.select("band", F.col("centre.vertex").alias("centre"), F.col("centre.n_shingles").alias("n_centre"))
+    buckets, (n,) = written(members.join(crowded, "band").where("vertex > centre"))
+    close = F.least("n_shingles", "n_centre") >= F.lit(similarity) * F.greatest("n_shingles", "n_centre")
+    stars = buckets.where(close).select(F.col("centre").alias("a"), F.col("vertex").alias("b")).distinct()
+    links, n_links = verified(docs, vertices, stars.coalesce(tasks(n)), size, similarity)
+    met = links.select(F.col("a").alias("centre"), F.col("b").alias("vertex"), F.lit(True).alias("linked"))
+    flagged = buckets.join(met, ["centre", "vertex"], "left").select("band", "pos", "vertex", "n_shingles", F.coalesce("linked", F.lit(False)).alias("linked"))
+    flagged = cut_lineage(flagged.coalesce(tasks(n)))
+    loose = F.sum(F.when(~F.col("linked"), 1).otherwise(0))
+    mixed = flagged.groupBy("band").agg(F.count(F.lit(1)).alias("n"), loose.alias("loose")).where("loose > 0 and n > 1").coalesce(tasks(n))
+    mixed, (_, at_most) = written(mixed, F.sum(F.col("n") * F.col("loose")))
+    if at_most:
+        held = flagged.join(mixed.select("band"), "band").join(vertices.select("vertex", "bands"), "vertex")
+        held = cut_lineage(held.coalesce(tasks(n)))
+        slices = int(at_most) // PAIRS_AT_ONCE + 1
+        for part in range(slices):
+            pairs = loose_pairs(held, part, slices, similarity)
+            more, n_more = verified(docs, vertices, pairs, size, similarity)
+            links, n_links = links.union(more), n_links + n_more
+    labels = components(links, n_links)[0]
     joined = with_labels(vertices.drop("bands"), labels)
     least = joined.groupBy("label").agg(F.min("first_id").alias("class_id"))
     classes = joined.join(least, "label").select("d1", "d2", "n_shingles", "class_id", "n_copies")
@@ -250,15 +245,31 @@ def with_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.drop("label").join(labels.select("vertex", "label"), "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
 
 
-def settle(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, found: DataFrame | None, size: int, similarity: float):
-    """Check ``pairs``, add them to the links found so far and label the components."""
-    wanted = pairs.select(F.col("a").alias("vertex")).union(pairs.select(F.col("b").alias("vertex"))).distinct()
-    named = wanted.join(vertices.select("vertex", "d1", "d2", "first_id"), "vertex")
+def loose_pairs(held: DataFrame, part: int, slices: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of a bucket of which one or both are not linked with its centre.
+
+    A pair is looked at in the first band it shares only: if both are linked there, they are
+    connected already, and if one is the centre there, they have been compared.
+    """
+    one = held.where(~F.col("linked") & (F.pmod(F.xxhash64("vertex"), F.lit(slices)) == part))
+    one = one.select("band", "pos", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"), F.col("bands").alias("ba"))
+    two = held.select(F.col("band").alias("band2"), F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), "linked", F.col("bands").alias("bb"))
+    earlier = F.exists(F.zip_with(F.slice("ba", 1, F.col("pos")), F.slice("bb", 1, F.col("pos")), lambda x, y: x == y), lambda same: same)
+    close = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
+    once = F.col("linked") | (F.col("a") < F.col("b"))
+    return one.join(two, (F.col("band") == F.col("band2")) & (F.col("a") != F.col("b")) & once & close & ~earlier).select("a", "b")
+
+
+def verified(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, size: int, similarity: float) -> tuple[DataFrame, int]:
+    """The pairs that are near duplicates, written, and their number."""
+    pairs, (n,) = written(pairs)
+    k = tasks(n)
+    wanted = pairs.select(F.col("a").alias("vertex")).union(pairs.select(F.col("b").alias("vertex"))).distinct().coalesce(k)
+    named = cut_lineage(wanted.join(vertices.select("vertex", "d1", "d2", "first_id"), "vertex").coalesce(k))
     texts = docs.select("doc_id", "text")
-    ids = named.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct()
+    ids = named.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct().coalesce(k)
     read = texts.join(ids, "doc_id", "left_semi").union(texts.where("doc_id is null"))
     sets = read.mapInArrow(shingle_rows(size), "d1 long, d2 long, shingles array<int>")
-    sets = sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles"))
-    links = cut_lineage(similar(pairs, sets, similarity))
-    links = links if found is None else links.union(found)
-    return links, cut_lineage(components(links))
+    sets = cut_lineage(sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles")))
+    links, (m,) = written(similar(pairs, sets, similarity).coalesce(max(1, n // PAIRS_PER_TASK)))
+    return links, m
