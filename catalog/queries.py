@@ -545,7 +545,7 @@ def glm_activity(spark, d):
     """Zero-inflated binomial activity model, predicted per municipality and boat code."""
     model = glm.fit_cells(
         binomial_cells(spark, d), ["municipality_name", "boat_code", "period_seasonal"], "n_trips", "binomial",
-        trials="n_days", zero_inflated=True, max_em=3,
+        trials="n_days", zero_inflated=True,
     )
     grid = S.order_cells(spark, d).select("municipality_name", "boat_code").distinct()
     return glm.predict_grid(model, grid, ["municipality_name", "boat_code"])
@@ -566,7 +566,7 @@ def zero_inflated_poisson(response):
     def run(spark, d):
         trips_in = S.order_trips(spark, d)
         cells = glm.level_cells(trips_in, ZIP_EFFECTS, [response])
-        model = glm.fit_cells(cells, ZIP_EFFECTS, response, "poisson", zero_inflated=True, max_em=3)
+        model = glm.fit_cells(cells, ZIP_EFFECTS, response, "poisson", zero_inflated=True)
         grid = trips_in.select("trip_gear", "boat_type").distinct()
         return glm.predict_grid(model, grid, ["trip_gear", "boat_type"])
 

@@ -42,9 +42,8 @@ def with_draws(df: DataFrame, key: str, draws: int, hash_name: str = "xxhash64")
 
     Rows sharing ``key`` are resampled together.  Always follow with an aggregation by
     (cell, draw): it combines on the map side, so only cells x draws rows are shuffled.
-    The rows are dealt out evenly before they are multiplied (by all their columns: units
-    of any size, and no draw depends on the place of a row); pass only needed columns.
+    Rows are multiplied where the scan left them; pass only needed columns.
     """
-    exploded = df.repartition(*df.columns).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    exploded = df.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     weighted = exploded.withColumn("draw_weight", poisson_weight(draw_uniform(F.col(key), F.col("draw"), hash_name)))
     return weighted.where(F.col("draw_weight") > 0)

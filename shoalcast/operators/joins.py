@@ -66,6 +66,8 @@ def salted_join(
     lookup side.  Facts with a missing key match nothing and are spread as well.
     ``counts`` are the rows per key (``__n``), if the caller has them already.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("copies of a hot lookup row would come out unmatched: use a left or an inner join")
     if counts is None:
         counts = facts.groupBy(*left_on).agg(F.count(F.lit(1)).alias("__n"))
     if not null_safe:

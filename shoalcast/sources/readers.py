@@ -20,9 +20,12 @@ from shoalcast.operators.windows import latest_version
 from shoalcast.schemas import TRIPS_FROM_POINTS
 
 
-def read_text_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with a header, every column text, snake_case names.  Only the header is looked at."""
-    raw = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=False).csv(path)
+def read_text_csv(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """CSV with a header, every column text, snake_case names.  Only the header is looked at.
+
+    ``multi_line`` reads quoted values with line breaks whole; a file is then one task.
+    """
+    raw = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multi_line).csv(path)
     return with_clean_names(raw)
 
 
@@ -92,10 +95,13 @@ def read_stations_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_text_csv(spark, path)
 
 
-def read_survey_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Landing survey, as wide as its header, latest version of each record."""
-    survey = read_text_csv(spark, path)
-    return latest_version(survey, "uuid", "end", tie=[c for c in survey.columns if c not in ("uuid", "end")][:3])
+def read_survey_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landing survey, as wide as its header, latest version of each record.
+
+    Answers are free text and may hold line breaks.  Versions of the same time are told apart by all columns.
+    """
+    survey = read_text_csv(spark, path, multi_line=multi_line)
+    return latest_version(survey, "uuid", "end", tie=[c for c in survey.columns if c not in ("uuid", "end")])
 
 
 def read_gz_shards(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:

@@ -175,3 +175,10 @@ def test_totals_with_and_without_gear(spark):
     assert shares.where("lower > median or median > upper").count() == 0
     assert totals.marginal_means(trips, "trip_catch_po_3", ["municipality_name"], 8).where("municipality_name = 'Overall'").count() == 2
     assert totals.activity_table(cells, [], 8, 30).count() == 6
+
+
+def test_survey_keeps_line_breaks_and_all_ties(spark, tmp_path):
+    file = tmp_path / "survey.csv"
+    file.write_text('uuid,end,a,b,c,d\nx,2020,"one\ntwo",2,3,4\ny,2021,1,1,1,9\ny,2021,1,1,1,2\n')
+    got = {r["uuid"]: tuple(r)[2:] for r in readers.read_survey_csv(spark, str(file)).collect()}
+    assert got == {"x": ("one\ntwo", "2", "3", "4"), "y": ("1", "1", "1", "2")}
