@@ -51,9 +51,12 @@ def hashed(symbols: np.ndarray, owner: np.ndarray, sizes: tuple[int, ...], bits:
 
 
 def letters_only(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-case letters, runs of anything else as one separator 0; the text of each place."""
+    """Lower-case letters, runs of anything else as one separator 0; the text of each place.  Texts
+    without a letter have no place."""
     raw, owner = codes(texts)
     symbols = letter_table()[raw]
     kept = symbols != 0
+    lettered = np.bincount(owner[kept], minlength=len(texts)) > 0
     kept[1:] |= symbols[:-1] != 0
+    kept &= lettered[owner]
     return symbols[kept], owner[kept]

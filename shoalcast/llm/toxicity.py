@@ -159,7 +159,10 @@ def fit(bits: int, sparsity: float, counterfactual: float, rounds: int):
     """Map the sampled feature rows, in one task, to (feature, weight); feature -1 is the bias."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
         y = table.column("toxic").to_numpy().astype(float) if table.num_rows else np.zeros(0)
         if not len(y) or y.min() == y.max():
             share = (y.sum() + 1) / (len(y) + 2)

@@ -1,0 +1,302 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from shoalcast.llm import chat, decontaminate, language, minhash, packing, pages, quality, secrets, suffix_dedup, toxicity
+from shoalcast.llm.common import fold
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = "alpha beta gamma delta omega sigma kappa theta lambda zeta river stone cloud field north south table chair".split()
+
+
+def prose(n, seed):
+    rnd = random.Random(seed)
+    return " ".join(rnd.choice(VOCABULARY) + str(rnd.randrange(90)) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Copies, near copies, shared passages, nulls, empty and long texts, repeated rows, a clashing column."""
+    shared = prose(30, 1)
+    rows = [(i, prose(40, 100 + i)) for i in range(30)]
+    rows += [(40 + i, rows[3][1]) for i in range(4)]
+    rows += [(50 + i, rows[5][1] + f" tail{i}") for i in range(5)]
+    rows += [(60 + i, f"{prose(20, 300 + i)} {shared} {prose(20, 400 + i)}") for i in range(6)]
+    rows += [(70, None), (71, ""), (72, "   \n "), (73, "one two"), (74, "one two"), (75, prose(4000, 9)), (None, prose(40, 103)), (3, rows[3][1])]
+    return spark.createDataFrame([(i, t, "x", "en") for i, t in rows], "doc_id long, text string, band string, lang string")
+
+
+def texts(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.collect()]
+
+
+def test_packing_cuts_every_id_once(docs):
+    got = packing.pack(docs, TOKENIZER).collect()
+    encode = packing.encoder(TOKENIZER)
+    want = Counter()
+    for doc, text in texts(docs):
+        ids = np.array([*encode(text or ""), 0], "<u4")
+        want[doc, len(ids)] += len(ids)
+    have = Counter()
+    filled = {}
+    for r in got:
+        have[r["doc_id"], r["doc_tokens"]] += r["length"]
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert have == want
+    for parts in filled.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+    one = {r["start"]: r for r in got if r["doc_id"] == 75}
+    ids = np.array([*encode(dict(texts(docs))[75]), 0], "<u4")
+    assert all(zlib.crc32(ids[s : s + r["length"]].tobytes()) == r["ids_crc32"] for s, r in one.items())
+
+
+def test_encoder_equals_tokenizer_file():
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(TOKENIZER)
+    for text in ["", "  a\n\n b ", "it's 12 ½²", "a<|endoftext|>b", "日本語 é🎉", "x" * 500, " \t\r\n "]:
+        assert packing.encoder(TOKENIZER)(text) == slow.encode(text, add_special_tokens=False).ids
+
+
+def test_differencing_balances_and_windows_rise():
+    rnd = random.Random(5)
+    sizes = [rnd.randrange(1, 200) for _ in range(300)]
+    found = packing.windows(sizes, 1024)
+    loads = [sum(sizes[i] for i in w) for w in found]
+    assert sorted(i for w in found for i in w) == list(range(300))
+    assert max(loads) <= 1024 and len(found) <= -(-sum(sizes) // 1024) + 1
+    assert len(packing.windows([600, 600, 600], 1024)) == 3
+
+
+def test_near_duplicates_equal_brute_force(docs):
+    rows = [(i, t) for i, t in texts(docs) if i is not None]
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = [(r["doc_id"], r["class_id"]) for r in minhash.near_duplicates(docs).collect()]
+    assert sorted(x for x in got if x[0] is not None) == sorted((i, find(i)) for i, _ in rows)
+    # The row without an id equals document 3 in nothing but its place; its class is its own text's.
+    assert len(got) == docs.count()
+
+
+def test_signatures_estimate_weighted_similarity():
+    elements = np.arange(1, 41, dtype=np.uint64)
+    w1, w2 = np.ones(40), np.where(np.arange(40) < 20, 3.0, 1.0)
+    out = minhash.dart_signatures(np.tile(elements, 2), np.concatenate([w1, w2]), np.repeat([0, 1], 40), 2, 2000)
+    assert abs((out[0] == out[1]).mean() - 40 / 80) < 0.05
+
+
+def test_decontamination_equals_brute_force(spark, docs):
+    known = dict(texts(docs))
+    items = [(1, known[4]), (2, " ".join(known[62].split()[15:40])), (2, "one TWO"), (None, known[8]), (9, None), (10, "!!")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    phrases = {}
+    for item, text in items:
+        w = word.findall((text or "").lower())
+        for i in range(max(1, len(w) - 9) if w else 0):
+            phrases.setdefault(tuple(w[i : i + 10]), set()).add(item)
+    for block_bytes in (1 << 20, 200):
+        for r in decontaminate.mark(docs, bench, block_bytes=block_bytes).collect():
+            w, hit, found = word.findall((r["text"] or "").lower()), set(), set()
+            for p, ids in phrases.items():
+                for i in range(len(w) - len(p) + 1):
+                    if tuple(w[i : i + len(p)]) == p:
+                        hit.update(range(i, i + len(p)))
+                        found |= ids
+            assert r["__words"] == len(w)
+            assert sum(s["last"] - s["first"] + 1 for s in r["__spans"]) == len(hit)
+            assert r["__items"] == sorted(str(x) for x in found if x is not None)
+
+
+def test_removed_spans_leave_the_rest(spark):
+    df = spark.createDataFrame([("héllo wörld again", [(7, 13)])], "text string, s array<struct<start:int,stop:int>>")
+    assert df.select(decontaminate.without_spans(F.col("text"), F.col("s")).alias("t")).first()["t"] == "héllo  again"
+
+
+def test_suffix_dedup_equals_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(suffix_dedup, "RANGE_BYTES", 9000)
+    rows = sorted((10**9 if i is None else i, (t or "").encode()) for i, t in texts(docs))
+    first = {}
+    for i, raw in rows:
+        for q in range(len(raw) - 49):
+            first.setdefault(raw[q : q + 50], i)
+    want = Counter()
+    for i, raw in rows:
+        gone = np.zeros(len(raw), bool)
+        for q in range(len(raw) - 49):
+            if first[raw[q : q + 50]] < i:
+                gone[q : q + 50] = True
+        runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        want[len(raw), int(gone.sum()), runs, hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest()] += 1
+    got = Counter((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.repeated_spans(docs).collect())
+    assert got == want
+
+
+def labelled(spark, n=240):
+    rnd = random.Random(2)
+    rows = [(i, prose(30, 900 + i) + (" vilest idiot" if i % 4 == 0 else "") + rnd.choice(["", " women", " muslims"])) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 4 == 0), 1) for i in range(n)], "doc_id long, toxic int, quality int")
+
+
+def test_toxicity_on_held_out_rows_and_swaps(spark):
+    docs, labels = labelled(spark)
+    model = toxicity.train(docs, labels.where(fold("doc_id", 3) != 1))
+    frame = toxicity.score(docs.join(labels, "doc_id").where(fold("doc_id", 3) == 1), model)
+    assert all((r["score"] >= 0.7) == (r["toxic"] == 1) for r in frame.collect())
+    neutral = spark.createDataFrame([(1, "a talk about women"), (2, "a talk about muslims"), (3, None)], "doc_id long, text string")
+    assert all(r["score"] < 0.7 for r in toxicity.score(neutral, model).collect())
+
+
+def test_swapped_terms_lose_their_weight():
+    y = np.array([1.0, 0.0] * 20)
+    row, feature = np.repeat(np.arange(40), 2), np.array([[0, 1], [2, 3]] * 20).reshape(-1)
+    change, sign, pair = np.array([0, 4] * 20), np.array([-1.0, 1.0] * 20), np.repeat(np.arange(20), 2)
+    free, _ = toxicity.fit_logistic(y, feature, row, change, sign, pair, 5, 1e-3, 0.0, 200)
+    held, _ = toxicity.fit_logistic(y, feature, row, change, sign, pair, 5, 1e-3, 10.0, 200)
+    assert abs(held[0]) < 0.2 * abs(free[0]) and held[1] > 0
+
+
+def test_without_labels_every_score_is_the_same(spark, docs):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r["score"] for r in toxicity.score(docs, toxicity.train(docs, none)).collect()} == {0.5}
+
+
+def test_language_of_held_out_texts(spark):
+    words = {"a": "und der die ein mit schön straße grün".split(), "b": "the of and with from street green this".split()}
+    rnd = random.Random(1)
+    rows = [(i, " ".join(rnd.choice(words["ab"[i % 2]]) for _ in range(25)), "ab"[i % 2]) for i in range(60)]
+    frame = spark.createDataFrame([*rows, (100, None, "a"), (101, "123 !!", None)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language.predict(frame, language.train(frame.where("doc_id < 40 or doc_id >= 100"))).collect()}
+    assert all(got[i]["lang_pred"] == lang and 0 <= got[i]["score"] <= 1 for i, _, lang in rows)
+    assert got[100]["lang_pred"] == got[101]["lang_pred"] == "und" and got[100]["rejected"]
+
+
+def test_quality_counts_and_verdict(spark, docs):
+    labels = spark.createDataFrame([(i, 1) for i in range(30)] + [(200 + i, 0) for i in range(8)], "doc_id long, quality int")
+    junk = spark.createDataFrame([(200 + i, "*** ### $$$ %%% || ".replace("*", "*" * (i + 1)) * 12) for i in range(8)], "doc_id long, text string")
+    frame = docs.select("doc_id", "text").union(junk)
+    got = {(r["doc_id"], r["n_words"]): r for r in quality.judge(frame, labels).collect()}
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    for doc, text in texts(frame):
+        w = word.findall(text or "")
+        r = got[doc, len(w)]
+        windows = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        hit = {i + j for i in range(len(w) - 4) if windows[tuple(w[i : i + 5])] > 1 for j in range(5)}
+        assert (r["word_chars"], r["n_repeat_words"]) == (sum(map(len, w)), len(hit))
+        assert r["n_symbols"] == sum(c in "#*$%&|<>" for c in text or "")
+    assert all(r["kept"] for (doc, _), r in got.items() if doc is not None and doc < 30)
+    assert not any(r["kept"] for (doc, _), r in got.items() if doc is not None and doc >= 200)
+
+
+def test_secrets_are_masked_and_plain_strings_stay(spark):
+    hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(40)]
+    rows = [(i, f'word {i} token = "{h}" more') for i, h in enumerate(hexes)]
+    rows += [(100 + i, f"card 49{i:02d}123412341234 and https://example.org/path/{i}/some-page-name-2020") for i in range(40)]
+    rows += [(200, None), (201, ""), (202, "a\u0001b\u0002c no secret")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, start int")
+    forest, known = secrets.train(docs)
+    masked = {r["doc_id"]: r["text"] for r in secrets.redacted(docs, forest, known).collect()}
+    assert all(masked[i] == f'word {i} token = "[SECRET]" more' for i in range(40))
+    assert all(masked[i] == t for i, t in rows if i >= 100)
+    plain = dict(rows)
+    for r in secrets.findings(docs, forest, known).collect():
+        value = plain[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert hashlib.sha256(value.encode()).hexdigest() == r["sha256"]
+        assert r["is_secret"] == (r["doc_id"] < 100)
+
+
+def test_pages_keep_the_article_and_drop_shared_lines(spark):
+    rows = [(i, f"http://h.example/a/{i}", f"<div>Menu one</div><p>Own text {i} &amp; more</p><div>Foot</div>") for i in range(12)]
+    article = '<nav>x</nav><article><h1>T</h1><p><b>One<br>two<p>three</p><div class="comments">no</div></article><footer>f</footer><script>var t="</p>";</script>'
+    rows += [(100, None, None), (101, "http://x.example/", "<div>alone</div>"), (102, "http://h.example/a/1x", article)]
+    got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Own text {i} & more" for i in range(12))
+    assert (got[100], got[101], got[102]) == ("", "alone", "T One two three")
+
+
+def test_alignment_is_a_longest_common_subsequence():
+    rnd = random.Random(3)
+    for _ in range(500):
+        a, b = ([rnd.randrange(4) for _ in range(rnd.randrange(12))] for _ in "ab")
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        for marks in (pages.common(a, b), pages.aligned(a, b, 4)):
+            kept, rest = [x for x, m in zip(a, marks) if m], iter(b)
+            assert len(kept) == best[-1][-1] and all(x in rest for x in kept)
+
+
+def test_chat_repairs_are_legal_and_cheapest(spark):
+    rnd = random.Random(4)
+    roles = ["user", "assistant", "system", "Human", "tool", None]
+    rows = [(c, t, rnd.choice(roles), rnd.choice(["a", "b", ""])) for c in range(25) for t in range(rnd.randrange(1, 7))]
+    rows += [(50, t, rnd.choice(roles[:3]), f"x{t}") for t in range(700)] + [(51, 5, rnd.choice(roles[:3]), f"y{t}") for t in range(600)]
+    rows += [(51, 4, "user", "first"), (51, 9, "user", "last"), (None, None, None, None), rows[0]]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    groups = {}
+    for r in chat.format_chat(frame).collect():
+        groups.setdefault(r["conv_id"], []).append(r)
+    assert sum(map(len, groups.values())) == len(set(rows))
+    number = {"user": 2, "assistant": 3, "system": 1, "Human": 2}
+    plain = {(c, t, r, x) for c, t, r, x in rows}
+    for conv, got in groups.items():
+        got.sort(key=lambda r: (r["block"], r["part"], r["place"]))
+        text = "".join(r["rendered"] for r in got)
+        spoken = re.findall(r"<\|im_start\|>(\w+)\n", text)
+        states = [0, *(chat.ROLES.index(s) for s in spoken)]
+        assert all(b in chat.LEGAL[a] for a, b in zip(states, states[1:])) and states[-1] in chat.FINAL
+        if conv is not None and conv < 25 and len({(t, r) for c, t, r, x in plain if c == conv}) == len([1 for c, *_ in plain if c == conv]):
+            empty = {(t, r): x == "" for c, t, r, x in plain if c == conv}
+            best, spent, state = {0: 0.0}, 0.0, 0
+            for r in got:
+                turn = (number.get(r["role"], 0), empty[r["turn"], r["role"]])
+                reached = {}
+                for s, cost in best.items():
+                    for extra, after, _, _ in chat.choices(s, *turn):
+                        reached[after] = min(reached.get(after, 99.0), cost + extra)
+                best = reached
+                after = chat.ROLES.index(r["final_role"])
+                put = chat.ROLES.index(r["inserted"]) if r["inserted"] else 0
+                spent += min(c for c, a, action, ins in chat.choices(state, *turn) if (a, action, ins) == (after, r["action"], put))
+                state = after
+            end = {s: c + (0 if s in chat.FINAL else chat.INSERT) for s, c in best.items()}
+            assert abs(spent + (0 if state in chat.FINAL else chat.INSERT) - min(end.values())) < 1e-9
+
+
+def test_empty_tables_give_no_rows(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert packing.pack(docs, TOKENIZER).count() == 0
+    assert minhash.near_duplicates(docs).count() == 0
+    assert suffix_dedup.repeated_spans(docs).count() == 0
+    assert quality.judge(docs, labels).count() == 0
+    assert language.predict(docs, language.train(docs)).count() == 0
+    assert toxicity.score(docs, toxicity.train(docs, labels)).count() == 0
+    assert secrets.findings(docs, *secrets.train(docs)).count() == 0
+    assert decontaminate.mark(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
+    assert pages.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
