@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoalcast.llm.common import hash_rate
+from shoalcast.session import cut_lineage
 
 MAX_FINDINGS = 5000
 TREES = 20
@@ -139,6 +140,8 @@ def labelled_findings(docs: DataFrame, known: bytes) -> DataFrame:
 
 def fit_forest(findings: DataFrame, max_findings: int = MAX_FINDINGS, trees: int = TREES, depth: int = DEPTH) -> str | None:
     """The forest fitted on labelled findings, as text; null without findings of both classes."""
+    # Written first: the steps below read it many times, and in one task.
+    findings = cut_lineage(findings)
     sizes = {r["label"]: r["count"] for r in findings.groupBy("label").count().collect()}
     if set(sizes) != {0, 1}:
         return None

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoalcast.llm.common import ALNUM_PARTED, LOWER, Words, chunks, hash_rate, utf8
+from shoalcast.session import cut_lineage
 
 BITS = 18
 PREFIXES = (4, 5)
@@ -210,7 +211,8 @@ def train(
     # At most about 2 * max_labelled rows of two numbers.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text")
     rows = texts.mapInArrow(features(bits, groups), "toxic int, features array<int>, changes array<array<int>>")
-    fitted = rows.coalesce(1).mapInArrow(fit(bits, sparsity, counterfactual, rounds), "feature int, weight double").collect()
+    # Written first, or the one task that fits would scan all documents too.
+    fitted = cut_lineage(rows).coalesce(1).mapInArrow(fit(bits, sparsity, counterfactual, rounds), "feature int, weight double").collect()
     weights, bias = np.zeros(1 << bits), 0.0
     for feature, weight in fitted:
         if feature < 0:
