@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.standins import DRAWS
+from catalog.standins import DRAWS, GROUPS
 from shoalcast.functions.flags import PRICE_FLAGS
 from shoalcast.operators.draws import POISSON_CUTS
 from shoalcast.schemas import GEARS
@@ -363,7 +363,8 @@ QUESTIONS = {
 oracle(
     "unpivot_group",
     " UNION ALL ".join(
-        f"SELECT record_id AS uuid, record, '{q}' AS question, {e} AS value FROM grp WHERE {e} IS NOT NULL"
+        f"""SELECT record_id AS uuid, record, '{q}' AS question, {e} AS value FROM (SELECT DISTINCT record_id FROM grp)
+        CROSS JOIN (SELECT CAST(unnest(range({len(GROUPS)})) AS VARCHAR) AS record) LEFT JOIN grp USING (record_id, record)"""
         for q, e in QUESTIONS.items()
     ),
     "answers",

@@ -156,7 +156,7 @@ def text_logical(spark, d):
 
 @query
 def unpivot_group(spark, d):
-    return reshape.unpivot_group(S.survey_groups(spark, d), ["uuid"]).where(F.col("value").isNotNull())
+    return reshape.unpivot_group(S.survey_groups(spark, d), ["uuid"])
 
 
 def lines_with_brand(spark, d):
