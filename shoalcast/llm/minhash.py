@@ -199,8 +199,10 @@ def near_duplicates(
     """One row for each row of ``docs`` (doc_id, text): doc_id, class_id (the smallest doc_id of its
     group of near duplicates), n_copies (rows with the same shingle set), is_kept.
 
-    Every pair that shares a band is compared or connected: each bucket first compares its members with
-    one centre, and then those that are no near duplicates of the centre with all others.
+    Every pair that shares a band is compared or connected.  Each vertex is first compared with the smallest
+    centre of its buckets, and takes it as its label if they are near duplicates; then with the centres whose
+    label differs; where some stay apart, members that agree in two bands are compared with one of them, which
+    joins most of a large group; what is then not connected is compared with all members of its buckets.
     """
     texts = docs.select("doc_id", "text")
     signed = cut_lineage(texts.mapInArrow(sign(size, bands, rows), "doc_id long, d1 long, d2 long, n_shingles int, bands array<long>"))
@@ -217,21 +219,40 @@ def near_duplicates(
     crowded = crowded.select("band", F.col("centre.vertex").alias("centre"), F.col("centre.n_shingles").alias("n_centre"))
     buckets, (n,) = written(members.join(crowded, "band").where("vertex > centre"))
     close = F.least("n_shingles", "n_centre") >= F.lit(similarity) * F.greatest("n_shingles", "n_centre")
-    stars = buckets.where(close).select(F.col("centre").alias("a"), F.col("vertex").alias("b")).distinct()
-    links, n_links = verified(docs, vertices, stars.coalesce(tasks(n)), size, similarity)
-    met = links.select(F.col("a").alias("centre"), F.col("b").alias("vertex"), F.lit(True).alias("linked"))
-    flagged = buckets.join(met, ["centre", "vertex"], "left").select("band", "pos", "vertex", "n_shingles", F.coalesce("linked", F.lit(False)).alias("linked"))
+    sets = shingles_of(docs, vertices, buckets, n, size)
+    nearest = buckets.where(close).groupBy("vertex").agg(F.min("centre").alias("a")).select("a", F.col("vertex").alias("b"))
+    links, n_links = verified(nearest, sets, similarity)
+    known = links.select(F.col("b").alias("vertex"), F.col("a").alias("label"))
+    hubs = known.select(F.col("vertex").alias("centre"), F.col("label").alias("hub"))
+    labelled = buckets.join(known, "vertex", "left").join(hubs, "centre", "left")
+    labelled = labelled.withColumns({"label": F.coalesce("label", "vertex"), "hub": F.coalesce("hub", "centre")})
+    labelled = cut_lineage(labelled.coalesce(tasks(n)))
+    stars = labelled.where(close & (F.col("label") != F.col("hub"))).select(F.col("centre").alias("a"), F.col("vertex").alias("b")).distinct()
+    more, n_more = verified(stars, sets, similarity)
+    met = more.select(F.col("a").alias("centre"), F.col("b").alias("vertex"), F.lit(True).alias("met"))
+    links, n_links = links.union(more), n_links + n_more
+    linked = (F.col("label") == F.col("hub")) | F.coalesce("met", F.lit(False))
+    flagged = labelled.join(met, ["centre", "vertex"], "left").select("band", "pos", "vertex", "n_shingles", "label", linked.alias("linked"))
     flagged = cut_lineage(flagged.coalesce(tasks(n)))
     loose = F.sum(F.when(~F.col("linked"), 1).otherwise(0))
     mixed = flagged.groupBy("band").agg(F.count(F.lit(1)).alias("n"), loose.alias("loose")).where("loose > 0 and n > 1").coalesce(tasks(n))
     mixed, (_, at_most) = written(mixed, F.sum(F.col("n") * F.col("loose")))
     if at_most:
-        held = flagged.join(mixed.select("band"), "band").join(vertices.select("vertex", "bands"), "vertex")
+        held = flagged.drop("linked").join(mixed.select("band"), "band").join(vertices.select("vertex", "bands"), "vertex")
         held = cut_lineage(held.coalesce(tasks(n)))
+        more, n_more = verified(likely_pairs(held, similarity), sets, similarity)
+        labels, n_links = components(links.union(more), n_links + n_more)
+        links = labels.select(F.col("vertex").alias("a"), F.col("label").alias("b"))
+        # Buckets whose members are all connected by now are done.
+        held = cut_lineage(with_labels(held, labels).coalesce(tasks(n)))
+        labels_of = held.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        held = held.join(labels_of.where("least < most"), "band").withColumn("linked", F.col("label") == F.col("least")).drop("least", "most")
+        sizes = held.groupBy("band").agg(F.count(F.lit(1)).alias("n"), loose.alias("loose"))
+        at_most = sizes.agg(F.sum(F.col("n") * F.col("loose"))).first()[0] or 0
         slices = int(at_most) // PAIRS_AT_ONCE + 1
-        for part in range(slices):
+        for part in range(slices if at_most else 0):
             pairs = loose_pairs(held, part, slices, similarity)
-            more, n_more = verified(docs, vertices, pairs, size, similarity)
+            more, n_more = verified(pairs, sets, similarity)
             links, n_links = links.union(more), n_links + n_more
     labels = components(links, n_links)[0]
     joined = with_labels(vertices.drop("bands"), labels)
@@ -245,31 +266,51 @@ def with_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.drop("label").join(labels.select("vertex", "label"), "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
 
 
+def likely_pairs(held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different labels in which b agrees in two neighbouring bands with the smallest such vertex, a.
+
+    Agreement in two bands is far likelier for near duplicates than for pairs below the threshold.
+    """
+    once = held.dropDuplicates(["vertex"])
+    last = F.size("bands") - 1
+    both = F.zip_with(F.slice("bands", F.lit(1), last), F.slice("bands", F.lit(2), last), lambda x, y: F.xxhash64(x, y))
+    keyed = once.select("vertex", "n_shingles", "label", F.explode(both).alias("key"))
+    first = keyed.groupBy("key").agg(F.min(F.struct("vertex", "n_shingles", "label")).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    close = F.least("n_shingles", "c.n_shingles") >= F.lit(similarity) * F.greatest("n_shingles", "c.n_shingles")
+    met = keyed.join(first.drop("n"), "key").where((F.col("vertex") > F.col("c.vertex")) & (F.col("label") != F.col("c.label")) & close)
+    return met.select(F.col("c.vertex").alias("a"), F.col("vertex").alias("b")).distinct()
+
+
 def loose_pairs(held: DataFrame, part: int, slices: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of a bucket of which one or both are not linked with its centre.
+    """The pairs (a, b) of a bucket that are not connected yet.
 
-    A pair is looked at in the first band it shares only: if both are linked there, they are
-    connected already, and if one is the centre there, they have been compared.
+    A pair is looked at in the first band it shares only; if one is the centre there, they have been compared.
+    ``linked`` marks the members of one of the labels of the bucket, so that each pair comes once.
     """
     one = held.where(~F.col("linked") & (F.pmod(F.xxhash64("vertex"), F.lit(slices)) == part))
-    one = one.select("band", "pos", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"), F.col("bands").alias("ba"))
-    two = held.select(F.col("band").alias("band2"), F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), "linked", F.col("bands").alias("bb"))
+    one = one.select("band", "pos", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"), F.col("label").alias("la"), F.col("bands").alias("ba"))
+    two = held.select(F.col("band").alias("band2"), F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), F.col("label").alias("lb"), "linked", F.col("bands").alias("bb"))
     earlier = F.exists(F.zip_with(F.slice("ba", 1, F.col("pos")), F.slice("bb", 1, F.col("pos")), lambda x, y: x == y), lambda same: same)
     close = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
     once = F.col("linked") | (F.col("a") < F.col("b"))
-    return one.join(two, (F.col("band") == F.col("band2")) & (F.col("a") != F.col("b")) & once & close & ~earlier).select("a", "b")
+    apart = (F.col("a") != F.col("b")) & (F.col("la") != F.col("lb"))
+    return one.join(two, (F.col("band") == F.col("band2")) & apart & once & close & ~earlier).select("a", "b")
 
 
-def verified(docs: DataFrame, vertices: DataFrame, pairs: DataFrame, size: int, similarity: float) -> tuple[DataFrame, int]:
-    """The pairs that are near duplicates, written, and their number."""
-    pairs, (n,) = written(pairs)
+def shingles_of(docs: DataFrame, vertices: DataFrame, buckets: DataFrame, n: int, size: int) -> DataFrame:
+    """(vertex, shingles) of every member and centre of ``buckets`` (``n`` rows), read from one text each and written."""
     k = tasks(n)
-    wanted = pairs.select(F.col("a").alias("vertex")).union(pairs.select(F.col("b").alias("vertex"))).distinct().coalesce(k)
+    wanted = buckets.select("vertex").union(buckets.select("centre")).distinct().coalesce(k)
     named = cut_lineage(wanted.join(vertices.select("vertex", "d1", "d2", "first_id"), "vertex").coalesce(k))
     texts = docs.select("doc_id", "text")
     ids = named.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct().coalesce(k)
     read = texts.join(ids, "doc_id", "left_semi").union(texts.where("doc_id is null"))
     sets = read.mapInArrow(shingle_rows(size), "d1 long, d2 long, shingles array<int>")
-    sets = cut_lineage(sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles")))
+    return cut_lineage(sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles")))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, int]:
+    """The pairs that are near duplicates, written, and their number."""
+    pairs, (n,) = written(pairs)
     links, (m,) = written(similar(pairs, sets, similarity).coalesce(max(1, n // PAIRS_PER_TASK)))
     return links, m
