@@ -715,7 +715,8 @@ GRID = {
         CAST(day(last_day(CAST(m AS DATE))) AS INT) AS n_days_month, draw FROM (
         SELECT municipality_name, '1' AS boat_type, canoes AS n FROM muni
         UNION ALL SELECT municipality_name, '2', motors FROM muni),
-        (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-31', INTERVAL 1 MONTH)) AS m), nums""",
+        (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS m FROM (SELECT CAST(date_trunc('month', min(o_orderdate))
+        AS TIMESTAMP) AS lo, CAST(max(o_orderdate) AS TIMESTAMP) AS hi FROM orders)), nums""",
     "dcells": drawn("order_cells", "individual_boat"),
     "acells": """SELECT municipality_name, period_static, boat_code AS boat_type, draw, sum(n_days * dw) AS n_days,
         sum(n_trips * dw) AS n_trips FROM dcells GROUP BY ALL""",

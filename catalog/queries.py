@@ -463,25 +463,25 @@ def bootstrap_draws(spark, d):
 
 
 def trips_by_draw(spark, d):
-    grid = totals.prediction_grid(S.municipalities(spark, d), S.FIRST_MONTH, S.LAST_MONTH, S.DRAWS)
+    grid = totals.prediction_grid(S.municipalities(spark, d), *S.months(spark, d), S.DRAWS)
     return totals.expected_trips(grid, totals.activity_draws(S.order_cells(spark, d), S.DRAWS, "md5"))
 
 
 def all_totals(spark, d):
-    order_trips = cut_lineage(S.order_trips(spark, d))
+    order_trips = S.order_trips(spark, d)
     return totals.national_totals(
         S.order_cells(spark, d), order_trips, order_trips, order_trips, S.municipalities(spark, d),
-        S.FIRST_MONTH, S.LAST_MONTH, S.DRAWS, hash_name="md5",
+        *S.months(spark, d), S.DRAWS, hash_name="md5",
     )
 
 
 def no_gear(spark, d):
-    order_trips = cut_lineage(S.order_trips(spark, d))
+    order_trips = S.order_trips(spark, d)
     return totals.national_totals_without_gear(trips_by_draw(spark, d), order_trips, order_trips, S.DRAWS, "md5")
 
 
 def with_gear(spark, d):
-    order_trips = cut_lineage(S.order_trips(spark, d))
+    order_trips = S.order_trips(spark, d)
     return totals.national_totals_with_gear(
         trips_by_draw(spark, d), order_trips, order_trips, order_trips, S.DRAWS, hash_name="md5"
     )

@@ -29,7 +29,6 @@ GEAR_OF_PRIORITY = {
     "4-NOT SPECIFIED": "SN",
     "5-LOW": "MC",
 }
-FIRST_MONTH, LAST_MONTH = "1995-01-01", "2001-08-31"
 DRAWS = 20
 
 
@@ -190,6 +189,12 @@ def survey_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select(F.col("l_orderkey").cast("string").alias("uuid"), *texts)
 
 
+def months(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day with an order."""
+    day = F.to_date("o_orderdate").cast("string")
+    return tuple(table(spark, sf_dir, "orders").agg(F.min(day), F.max(day)).first())
+
+
 def survey_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The survey's trip questions; what the trip cleaning reads of a survey file."""
     orders = table(spark, sf_dir, "orders")

@@ -16,6 +16,10 @@ POISSON_CUTS = [
     0.999916759,
     0.999989751,
     0.999998875,
+    0.999999888575,
+    0.999999989952,
+    0.999999999168,
+    0.999999999936,
 ]
 
 

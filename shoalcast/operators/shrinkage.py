@@ -41,6 +41,28 @@ def cell_moments(df: DataFrame, keys: Sequence[str], y: str, weight: str | None
         .groupBy(*keys)
         .agg(F.sum(w).alias("n"), F.sum(w * value).alias("__sy"), F.sum(w * value * value).alias("__syy"))
     )
+    return _cells(sums, keys)
+
+
+def sum_columns(y: str, weight: Column) -> list[Column]:
+    """Aggregates a response can be rolled up from: its size, sum and sum of squares."""
+    value = F.col(y)
+    return [
+        F.sum(F.when(value.isNotNull(), weight)).alias(f"n_{y}"),
+        F.sum(weight * value).alias(f"sum_{y}"),
+        F.sum(weight * value * value).alias(f"sq_{y}"),
+    ]
+
+
+def rolled_up_moments(sums: DataFrame, keys: Sequence[str], y: str) -> DataFrame:
+    """The cells of ``cell_moments`` by fewer keys, from the aggregates of ``sum_columns``."""
+    totals = sums.groupBy(*keys).agg(
+        F.sum(f"n_{y}").alias("n"), F.sum(f"sum_{y}").alias("__sy"), F.sum(f"sq_{y}").alias("__syy")
+    )
+    return _cells(totals.where(F.col("n").isNotNull()), keys)
+
+
+def _cells(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sums.select(
         *keys,
         "n",

@@ -24,14 +24,17 @@ from shoalcast.operators.shrinkage import (
     overall_mean,
     overall_rate,
     parent_shares,
+    rolled_up_moments,
     shrunk_means,
     shrunk_rates,
     shrunk_shares,
+    sum_columns,
 )
 from shoalcast.schemas import BOAT_CODES
 from shoalcast.session import cut_lineage
 
 CELL = ["municipality_name", "boat_type", "period_static"]
+WEIGHT, VALUE = "trip_catch_po_3", "trip_value_po_3"
 
 
 @dataclass
@@ -74,7 +77,10 @@ def mean_draws(
 ) -> Draws:
     """Mean cube-root catch or value per cell; trips are resampled."""
     resampled = with_draws(features.select("record_id", *keys, response), "record_id", draws, hash_name)
-    cells = cut_lineage(cell_moments(resampled, [*keys, "draw"], response, "draw_weight"))
+    return _mean_draws(cut_lineage(cell_moments(resampled, [*keys, "draw"], response, "draw_weight")), keys)
+
+
+def _mean_draws(cells: DataFrame, keys: Sequence[str]) -> Draws:
     return Draws(
         shrunk_means(cells, ["draw"]).select(*keys, "draw", "estimate"),
         overall_mean(cells, ["draw"]).select("draw", "overall"),
@@ -85,9 +91,13 @@ def mean_draws(
 
 def gear_draws(trips: DataFrame, draws: int, kappa: float = 10.0, hash_name: str = "xxhash64") -> Draws:
     """Gear shares per municipality and boat type; trips are resampled."""
+    levels = ["municipality_name", "boat_type", "trip_gear"]
+    resampled = with_draws(trips.select("record_id", *levels), "record_id", draws, hash_name)
+    return _gear_draws(cut_lineage(resampled.groupBy(*levels, "draw").agg(F.sum("draw_weight").alias("n"))), kappa)
+
+
+def _gear_draws(counts: DataFrame, kappa: float) -> Draws:
     keys = ["municipality_name", "boat_type"]
-    resampled = with_draws(trips.select("record_id", *keys, "trip_gear"), "record_id", draws, hash_name)
-    counts = cut_lineage(resampled.groupBy(*keys, "trip_gear", "draw").agg(F.sum("draw_weight").alias("n")))
     parent = ["boat_type", "draw"]
     return Draws(
         shrunk_shares(counts, [*keys, "draw"], parent, "trip_gear", "n", kappa).select(
@@ -99,6 +109,32 @@ def gear_draws(trips: DataFrame, draws: int, kappa: float = 10.0, hash_name: str
     )
 
 
+def pooled_trips(catch: DataFrame, value: DataFrame, gear: DataFrame | None = None) -> DataFrame:
+    """Feature tables as one: a row holds the responses it counts for, and ``for_gear``.
+
+    A table given for every part is taken once, others are put below each other.
+    """
+    if catch is value and (gear is None or gear is value):
+        return catch.withColumn("for_gear", F.lit(gear is not None))
+    names = ["record_id", *CELL, *([] if gear is None else ["trip_gear"])]
+    parts = [catch.select(*names, WEIGHT, F.lit(False).alias("for_gear")), value.select(*names, VALUE)]
+    if gear is not None:
+        parts.append(gear.select("record_id", "municipality_name", "boat_type", "trip_gear", F.lit(True).alias("for_gear")))
+    return tagged_union(dict(enumerate(parts)), "part")
+
+
+def resampled_sums(
+    pooled: DataFrame, keys: Sequence[str], draws: int, hash_name: str = "xxhash64"
+) -> DataFrame:
+    """One resample of trips for every estimate: sizes and sums by keys and draw, written once."""
+    resampled = with_draws(pooled.select("record_id", *keys, WEIGHT, VALUE, "for_gear"), "record_id", draws, hash_name)
+    weight = F.col("draw_weight")
+    in_gear = F.sum(F.when(F.col("for_gear"), weight)).alias("n_gear")
+    return cut_lineage(
+        resampled.groupBy(*keys, "draw").agg(in_gear, *sum_columns(WEIGHT, weight), *sum_columns(VALUE, weight))
+    )
+
+
 def attach_draws(grid: DataFrame, draws: Draws, out: str) -> DataFrame:
     """Look the estimates up on a grid that has a ``draw`` column."""
     keys, fallback = [*draws.keys, "draw"], [*draws.fallback_keys, "draw"]
@@ -164,15 +200,23 @@ def totals_with_gear(trips: DataFrame, gear: Draws, weight: Draws, value: Draws)
     return _products(attach_draws(attach_draws(split, weight, "catch_weight"), value, "catch_value"))
 
 
+def _without_gear(trips: DataFrame, sums: DataFrame) -> DataFrame:
+    fits = [_mean_draws(rolled_up_moments(sums, [*CELL, "draw"], y), CELL) for y in (WEIGHT, VALUE)]
+    return totals_without_gear(trips, *fits)
+
+
+def _with_gear(trips: DataFrame, sums: DataFrame, kappa: float) -> DataFrame:
+    by_gear = [*CELL, "trip_gear"]
+    counts = sums.groupBy("municipality_name", "boat_type", "trip_gear", "draw").agg(F.sum("n_gear").alias("n"))
+    fits = [_mean_draws(rolled_up_moments(sums, [*by_gear, "draw"], y), by_gear) for y in (WEIGHT, VALUE)]
+    return totals_with_gear(trips, _gear_draws(counts.where(F.col("n").isNotNull()), kappa), *fits)
+
+
 def national_totals_without_gear(
     trips: DataFrame, catch: DataFrame, value: DataFrame, draws: int, hash_name: str = "xxhash64"
 ) -> DataFrame:
     """Expected trips and feature tables to totals by cell and draw, any gear."""
-    return totals_without_gear(
-        trips,
-        mean_draws(catch, "trip_catch_po_3", CELL, draws, hash_name),
-        mean_draws(value, "trip_value_po_3", CELL, draws, hash_name),
-    )
+    return _without_gear(trips, resampled_sums(pooled_trips(catch, value), CELL, draws, hash_name))
 
 
 def national_totals_with_gear(
@@ -185,13 +229,8 @@ def national_totals_with_gear(
     hash_name: str = "xxhash64",
 ) -> DataFrame:
     """The same, split by the share of each gear."""
-    by_gear = [*CELL, "trip_gear"]
-    return totals_with_gear(
-        trips,
-        gear_draws(gear, draws, kappa, hash_name),
-        mean_draws(catch, "trip_catch_po_3", by_gear, draws, hash_name),
-        mean_draws(value, "trip_value_po_3", by_gear, draws, hash_name),
-    )
+    sums = resampled_sums(pooled_trips(catch, value, gear), [*CELL, "trip_gear"], draws, hash_name)
+    return _with_gear(trips, sums, kappa)
 
 
 @dataclass
@@ -215,10 +254,8 @@ def national_totals(
     """Activity cells, feature tables and the census to totals by cell and draw."""
     grid = prediction_grid(municipalities, first_month, last_month, draws)
     trips = expected_trips(grid, activity_draws(cells, draws, hash_name))
-    return Totals(
-        national_totals_without_gear(trips, catch, value, draws, hash_name),
-        national_totals_with_gear(trips, catch, value, gear, draws, kappa, hash_name),
-    )
+    sums = resampled_sums(pooled_trips(catch, value, gear), [*CELL, "trip_gear"], draws, hash_name)
+    return Totals(_without_gear(trips, sums), _with_gear(trips, sums, kappa))
 
 
 def annual_totals(totals: Totals, first: str, last: str | None = None) -> DataFrame:
