@@ -1,6 +1,8 @@
 """Secret scan: candidate strings judged by a random forest, in DataFrame functions only.
 
-One regex pass cuts each text into candidates and what lies between.  A candidate's features are its
+One regex pass cuts each text into candidates and what lies between: long runs of characters with a
+digit, behind the last ``=`` of a run and without its closing dots, and whatever is assigned to the name
+of a credential, of any length and characters.  A candidate's features are its
 length, its transitions between kinds of characters, how much of it the corpus dictionary covers, how
 like a path it is and its neighbouring words.  The forest is fitted on labelled findings (given, or
 taken from the corpus by rules that are sure of themselves), on a bounded sample of them
@@ -30,13 +32,24 @@ VERDICT = 0.5
 MASK = "[SECRET]"
 DICTIONARY_BITS = 16
 
-BODY = "[A-Za-z0-9_+/=.~-]"
+BODY = r"A-Za-z0-9_+/~\-"
 KEY_BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*+-----END [A-Z ]*PRIVATE KEY-----"
-CANDIDATE = rf"{KEY_BLOCK}|(?<!{BODY})(?={BODY}*[0-9]){BODY}{{16,}}+"
+# A run behind the last "=" that has characters behind it; padding belongs to it, closing dots do not.
+LONG = rf"(?<![{BODY}])(?=[{BODY}][{BODY}.]{{15}})(?<![{BODY}][.])(?=[{BODY}.]*[0-9])[{BODY}.]{{16,}}(?<![.])=*+(?![.]*+[{BODY}])"
+# The name of a credential up to the value given to it, and the value: quoted, or as far as a word goes.
+NAME = r"(?=[tspacbTSPACB])(?i:token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|authorization|auth(?![a-z])|bearer)(?:[_-][\w-]{0,24}|[A-Z]\w{0,24})?"
+SCHEME = r"(?:(?i:bearer|basic|token)\s+)?"
+GIVEN = rf"""{NAME}["'`]?\s{{0,4}}(?:=>|:=|={{1,3}}|:)\s{{0,4}}["'`]?{SCHEME}"""
+WORD = r"""[^\s\x00-\x1f"'`,;<>&]"""
+QUOTED = "|".join(rf"(?<={q})[^{q}\x00-\x1f]++(?={q})" for q in "\"'`")
+VALUE = rf"{KEY_BLOCK}|{QUOTED}|(?![.:)\]}}]){WORD}+(?:&(?!\w{{1,32}}=){WORD}+){{0,64}}(?<![.:)\]}}])"
+CANDIDATE = rf"({GIVEN})({VALUE})|({KEY_BLOCK}|{LONG})"
 # Fixed formats that issuers publish.
 ISSUED = rf"^(?:AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{36,}}|xox[abprs]-[A-Za-z0-9-]{{10,}}|sk-[A-Za-z0-9_-]{{20,}}|AIza[A-Za-z0-9_-]{{35}}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|{KEY_BLOCK})$"
 CREDENTIAL = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)"
-ASSIGNED = r"""[=:]\s*["'`]?$"""
+ASSIGNED = rf"""[=:>]\s*["'`]?{SCHEME}$"""
+# What stands right before the candidate is the name of a credential.
+NAMED = rf"""{NAME}["'`]?\s{{0,4}}(?:=>|:=|={{1,3}}|:|(?i:is))?\s{{0,4}}["'`]?{SCHEME}$"""
 MARK, ESCAPE = "\u0001", "\u0002"
 FEATURES = ("length", "transitions", "variety", "digits", "upper", "dictionary", "path", "credential", "assigned", "address")
 
@@ -44,7 +57,7 @@ FEATURES = ("length", "transitions", "variety", "digits", "upper", "dictionary",
 def pieces(text: Column) -> Column:
     """The text cut at its candidates: even places lie between them, odd places are candidates."""
     safe = F.replace(F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE + "\u0004")), F.lit(MARK), F.lit(ESCAPE + "\u0003"))
-    cut = F.split(F.regexp_replace(safe, f"({CANDIDATE})", f"{MARK}$1{MARK}"), MARK, -1)
+    cut = F.split(F.regexp_replace(safe, CANDIDATE, f"$1{MARK}$2$3{MARK}"), MARK, -1)
 
     def plain(p: Column) -> Column:
         return F.replace(F.replace(p, F.lit(ESCAPE + "\u0003"), F.lit(MARK)), F.lit(ESCAPE + "\u0004"), F.lit(ESCAPE))
@@ -114,13 +127,19 @@ def described(cut: Column, known: bytes) -> Column:
 
 
 def sure_label(c: Column) -> Column:
-    """1 for findings that are secrets beyond doubt, 0 for those that are not, null between."""
+    """1 for findings that are secrets beyond doubt, 0 for those that are not, null between.
+
+    What names a credential, or is given to one, is never sure to be none.
+    """
     issued = F.regexp_like(c["value"], F.lit(ISSUED))
     mixed = (c["length"] >= 20) & (c["digits"] > 0) & (c["variety"] >= 0.2) & (c["dictionary"] < 0.5) & (c["path"] < 0.1)
+    short = (c["length"] >= 8) & (c["digits"] > 0) & (c["variety"] >= 0.5) & (c["dictionary"] < 0.5) & (c["path"] < 0.1) & F.regexp_like(c["value"], F.lit(r"^(?=.*[A-Za-z])\S+$"))
     named = (c["credential"] == 1) & (c["assigned"] == 1)
+    names = F.regexp_like(c["left"], F.lit(NAMED)) | F.regexp_like(c["value"], F.lit(CREDENTIAL))
     return (
         F.when(issued, 1)
-        .when(named & mixed & (c["address"] == 0), 1)
+        .when(named & (mixed | short) & (c["address"] == 0), 1)
+        .when(names, None)
         .when((c["address"] == 1) | (c["path"] >= 0.1) | (c["dictionary"] >= 0.5) | ((c["credential"] == 0) & (c["assigned"] == 0)), 0)
     )
 
