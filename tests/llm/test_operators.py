@@ -272,6 +272,17 @@ def test_pages_keep_the_article_and_drop_shared_lines(spark):
     assert (got[100], got[101], got[102]) == ("", "alone", "T One two three")
 
 
+def extracted_texts(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in pages.main_text(frame).collect()}
+
+
+def test_lines_outside_a_teaser_article_are_differenced(spark):
+    page = "<div>Menu</div><div>Own words {0}</div><article>Teaser</article><div>Foot</div>"
+    got = extracted_texts(spark, [(i, f"http://h.example/a/{i}", page.format(i)) for i in range(12)])
+    assert got == {i: f"Own words {i} Teaser" for i in range(12)}
+
+
 def test_alignment_is_a_longest_common_subsequence():
     rnd = random.Random(3)
     for _ in range(500):
