@@ -283,6 +283,22 @@ def test_lines_outside_a_teaser_article_are_differenced(spark):
     assert got == {i: f"Own words {i} Teaser" for i in range(12)}
 
 
+def test_copies_of_a_page_are_no_partners(spark):
+    page = "<div>Menu</div><p>Own words of page {0}, {1}</p><div>{2}</div><div>Foot</div>"
+    said = {i: prose(30, 700 + i) for i in range(6)}
+    rows = [(i, f"http://h.example/a/{i}", page.format(i, said[i], "Same")) for i in range(6)]
+    rows += [(100 + i, "http://h.example/a/3", rows[3][2]) for i in range(40)]
+    rows += [(200 + i, f"http://h.example/a/4?v={i}", rows[4][2]) for i in range(40)]
+    rows += [(300 + i, f"http://h.example/a/5?v={i}", page.format(5, said[5], f"Seen {i}")) for i in range(40)]
+    rows += [(400 + i, "http://alone.example/", "<div>alone</div>") for i in range(3)]
+    got = extracted_texts(spark, rows)
+    own = {i: f"Own words of page {i}, {said[i]}" for i in range(6)}
+    assert all(got[i] == own[i] for i in range(6))
+    assert all(got[100 + i] == own[3] and got[200 + i] == own[4] for i in range(40))
+    assert all(got[300 + i] == f"{own[5]} Seen {i}" for i in range(40))
+    assert all(got[400 + i] == "alone" for i in range(3))
+
+
 def test_alignment_is_a_longest_common_subsequence():
     rnd = random.Random(3)
     for _ in range(500):
