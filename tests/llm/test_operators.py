@@ -299,6 +299,26 @@ def test_copies_of_a_page_are_no_partners(spark):
     assert all(got[400 + i] == "alone" for i in range(3))
 
 
+def test_site_words_take_no_element_that_holds_the_text(spark):
+    kept = [
+        '<body class="no-sidebar"><p>text</p></body>',
+        '<body class="sidebar"><p>text</p></body>',
+        '<div class="has-sidebar content"><p>text</p></div>',
+        '<div id="search-results"><p>text</p></div>',
+        '<article class="post social"><p>text</p></article>',
+        '<div class="social"><div class="ad">no</div><article><p>text</p></article></div>',
+        '<main id="search"><p>text</p><div class="comments"><article>no</article></div></main>',
+        '<div class="ad">no</div><p>text</p><div class="wide sidebar">no</div><div id="comments">no</div>',
+        '<form><div><p>text</p></div></form>',
+    ]
+    assert all([t for t, part in pages.lines(h) if part != pages.SITE] == ["text"] for h in kept[:-1])
+    rows = [(i, f"http://h{i}.example/", h) for i, h in enumerate(kept)]
+    rows += [(50 + i, f"http://form.example/{i}", f"<form><p>Log in</p><p>Own {i} words</p></form>") for i in range(4)]
+    got = extracted_texts(spark, rows)
+    assert all(got[i] == "text" for i in range(len(kept)))
+    assert all(got[50 + i] == f"Own {i} words" for i in range(4))
+
+
 def test_alignment_is_a_longest_common_subsequence():
     rnd = random.Random(3)
     for _ in range(500):
