@@ -29,7 +29,7 @@ GEAR_OF_PRIORITY = {
     "4-NOT SPECIFIED": "SN",
     "5-LOW": "MC",
 }
-DRAWS = 20
+DRAWS = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

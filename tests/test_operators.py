@@ -223,3 +223,10 @@ def test_choose_reg_prefers_a_light_penalty_on_clear_effects(spark):
     data = [(f"g{i % 6}", f"p{i % 4}", 2 + 3 * (i % 6) + i % 2) for i in range(480)]
     cells = glm.level_cells(spark.createDataFrame(data, "g string, p string, y int"), ["g", "p"], ["y"])
     assert glm.choose_reg(cells, ["g"], "y", "poisson", [0.001, 50.0]) == 0.001
+
+
+def test_draws_queries_take_the_references_hundred_draws(spark):
+    from catalog.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    assert QUERIES["q_bootstrap_draws"](spark, sf_dir).agg(F.countDistinct("draw")).first()[0] == 100
