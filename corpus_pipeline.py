@@ -3,7 +3,7 @@ passages and secrets are cut out, what is left is packed.
 
 Every stage takes (spark, docs, sf_dir); its result is written as Parquet and read as the next one's
 docs.  All but the last return the columns they got; ``n_chars`` follows a changed text.  Rows with a
-null text pass the filters; rows with a null doc_id are kept by the second stage unless an equal text has an id.
+null text pass the filters.  The second stage decides for each row by itself, whatever its doc_id.
 """
 
 from __future__ import annotations
@@ -36,9 +36,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Only the first document of a group stays; rows that repeat its id and text are one document."""
-    gone = minhash.near_duplicates(docs).where("not is_kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of a group stays: of the smallest doc_id, one without an id only if none has one."""
+    # Written first: the key of a row must not change between reads.
+    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = minhash.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    found = cut_lineage(found.select(F.col("doc_id").alias("__row"), "class_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"]
+    kept = found.join(rows.select("__row", "doc_id"), "__row").groupBy("class_id").agg(first.alias("__row"))
+    gone = found.join(kept, ["class_id", "__row"], "left_anti").select("__row")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

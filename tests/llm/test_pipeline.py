@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
@@ -14,3 +16,18 @@ def test_stages_keep_columns_and_drop_only_what_they_should(spark):
         docs = spark.createDataFrame(rows, docs.schema)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in rows}
+
+
+def test_near_duplicates_are_decided_row_by_row(spark):
+    rnd = random.Random(5)
+    texts = [" ".join(f"word{rnd.randrange(500)}" for _ in range(40)) for _ in range(8)]
+    rows = [(i, texts[i]) for i in range(6)]
+    rows += [(None, texts[0])] * 3 + [(None, texts[6])] * 4 + [(1, texts[1])] * 2 + [(0, texts[7]), (9, texts[2]), (2, texts[3]), (7, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    best = {}
+    for doc, text in rows:
+        key = (doc is None, doc or 0)
+        best[text] = min(best.get(text, key), key)
+    expected = [(None if none else doc, text) for text, (none, doc) in best.items() if text is not None] + [(7, None), (None, None)]
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
