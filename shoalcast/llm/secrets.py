@@ -6,7 +6,7 @@ of a credential, of any length and characters.  A candidate's features are its
 length, its transitions between kinds of characters, how much of it the corpus dictionary covers, how
 like a path it is and its neighbouring words.  The forest is fitted on labelled findings (given, or
 taken from the corpus by rules that are sure of themselves), on a bounded sample of them
-(``max_findings`` of each class), and then written as one SQL expression, so scoring stays
+(``max_findings`` distinct ones of each class, weighted by their copies), and then written as one SQL expression, so scoring stays
 inside the row: no join, no shuffle, and the candidates of a row never leave it.
 
 Null and empty texts have no candidate.  Repeated rows are judged alike, a text as long as it is, other
@@ -159,18 +159,18 @@ def labelled_findings(docs: DataFrame, known: bytes) -> DataFrame:
 
 def fit_forest(findings: DataFrame, max_findings: int = MAX_FINDINGS, trees: int = TREES, depth: int = DEPTH) -> str | None:
     """The forest fitted on labelled findings, as text; null without findings of both classes."""
-    # Written first: the steps below read it many times, and in one task.
-    findings = cut_lineage(findings)
+    # Copies of a finding are one row with their number.  Written first: the steps below read it many times, and in one task.
+    findings = cut_lineage(findings.groupBy("value", "left", *FEATURES, "label").agg(F.count(F.lit(1)).cast("double").alias("copies")))
     sizes = {r["label"]: r["count"] for r in findings.groupBy("label").count().collect()}
     if set(sizes) != {0, 1}:
         return None
     rate = F.when(F.col("label") == 1, min(1.0, max_findings / sizes[1])).otherwise(min(1.0, max_findings / sizes[0]))
     # One order of rows whatever the partitions: the same findings give the same forest.
     sample = findings.where(hash_rate(F.concat_ws(" ", "left", "value"), rate)).coalesce(1).sortWithinPartitions("value", "left", *FEATURES)
-    rows = sample.select(array_to_vector(F.array(*FEATURES)).alias("features"), F.col("label").cast("double").alias("label"))
+    rows = sample.select(array_to_vector(F.array(*FEATURES)).alias("features"), F.col("label").cast("double").alias("label"), "copies")
     if rows.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, maxMemoryInMB=64).fit(rows).toDebugString
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, maxMemoryInMB=64, weightCol="copies").fit(rows).toDebugString
 
 
 def tree_expression(lines: list[str], c: Column) -> Column:

@@ -263,6 +263,26 @@ def test_secrets_glued_to_their_names_are_found(spark):
     assert not {v for _, v in glued} & {r["value"] for r in labels}
 
 
+def test_copies_of_a_finding_count_once_against_the_bound(spark, monkeypatch):
+    fitted = []
+
+    class Forest(secrets.RandomForestClassifier):
+        def fit(self, rows):
+            fitted.append((self.getWeightCol(), rows.collect()))
+            return super().fit(rows)
+
+    monkeypatch.setattr(secrets, "RandomForestClassifier", Forest)
+    sha = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(300)]
+    rows = [(i, f'token = "{sha[0]}"') for i in range(500)] + [(1000 + i, f'token = "{h}"') for i, h in enumerate(sha)]
+    rows += [(2000 + i, "https://example.org/path/some-page-name-2020") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert secrets.train(docs, 100)[0] is not None
+    weight, sample = fitted[0]
+    assert weight == "copies"
+    secret, plain = ([r["copies"] for r in sample if r["label"] == k] for k in (1, 0))
+    assert plain == [500.0] and 60 <= len(secret) <= 140 and set(secret) <= {1.0, 501.0}
+
+
 def test_pages_keep_the_article_and_drop_shared_lines(spark):
     rows = [(i, f"http://h.example/a/{i}", f"<div>Menu one</div><p>Own text {i} &amp; more</p><div>Foot</div>") for i in range(12)]
     article = '<nav>x</nav><article><h1>T</h1><p><b>One<br>two<p>three</p><div class="comments">no</div></article><footer>f</footer><script>var t="</p>";</script>'
