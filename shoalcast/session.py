@@ -44,10 +44,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     For tables several steps read: later jobs prune columns of the written table and a lost
-    executor costs a re-read, not the steps before.  The table goes when the application ends.
+    executor costs a re-read, not the steps before.  The table goes when the application ends, or
+    as soon as ``drop_written`` is called with the frame this returns.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/shoalcast-{uuid.uuid4().hex}"
     df.write.parquet(path)
     removed_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete tables of ``cut_lineage`` (the frames it returned) whose last reader has been written itself."""
+    for table in tables:
+        place = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
