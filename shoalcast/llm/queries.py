@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoalcast.llm import chat, decontaminate, language, minhash, packing, pages, quality, secrets, suffix_dedup, toxicity
+from shoalcast.llm import chat, decontaminate, exact_dedup, hard_negatives, language, minhash, packing, pages, quality, secrets, spelling, suffix_dedup, toxicity
 from shoalcast.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,19 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.decide(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 ORACLES: dict[str, str] = {
@@ -96,6 +109,52 @@ items AS (SELECT k, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS listed
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
     sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (k) LEFT JOIN items USING (k)
+""",
+    "op11_exact_dedup": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS k, length(coalesce(text, '')) AS n,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, first_value(doc_id) OVER first AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+    row_number() OVER first = 1 AS kept, text_sha256
+FROM d WINDOW first AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST, k)
+""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scores AS (SELECT a.k, a.vec_id AS anchor_id, b.k AS other, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM v a, v b WHERE a.vec_id % 50 = 0),
+positives AS (SELECT * FROM scores WHERE same AND k <> other
+    QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id NULLS LAST, other) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    (row_number() OVER (PARTITION BY p.k, p.other ORDER BY n.score DESC, n.vec_id NULLS LAST, n.other))::INTEGER AS rank
+FROM positives p JOIN scores n ON n.k = p.k AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+""",
+    "op13_spelling": """
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+        lambda c, bit: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT doc_id, run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+        lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT] ELSE [195, unicode(s)::BIGINT - 64] END))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, crc),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+        THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS MATERIALIZED (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+shorter AS (SELECT cut.word, rest FROM cut JOIN words w ON w.word = cut.rest),
+near AS (SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT word, rest FROM shorter UNION SELECT rest, word FROM shorter),
+best AS (SELECT near.word, count(*) AS n_near, max(w.n) AS best_n,
+        min(CASE WHEN w.n = m THEN w.word END) AS form
+    FROM (SELECT *, max(n) OVER (PARTITION BY word) AS m FROM (SELECT near.*, w.n FROM near JOIN words w ON w.word = near.other)) near
+    JOIN words w ON w.word = near.other GROUP BY near.word),
+formed AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN form END AS form,
+        CASE WHEN best_n >= 5 * n THEN best_n END AS form_n FROM words LEFT JOIN best USING (word)),
+path AS (SELECT word, word AS root, form AS next FROM formed
+    UNION ALL SELECT path.word, f.word, f.form FROM path JOIN formed f ON f.word = path.next)
+SELECT formed.word, n, n_near, form, form_n, root FROM formed JOIN path ON path.word = formed.word AND path.next IS NULL
 """,
 }
 
@@ -112,5 +171,8 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_pages,
         op10_minhash,
+        op11_exact_dedup,
+        op12_hard_negatives,
+        op13_spelling,
     )
 }
