@@ -830,3 +830,153 @@ oracle(
     dtrips=drawn("order_trips", "record_id"),
     **gear_shares("dtrips", "municipality_name, boat_type, draw", "boat_type, draw", "dw"),
 )
+
+
+# Crossed effects -------------------------------------------------------------------------
+# The same rounds and iterations, one common table expression for each written table.
+
+ACTIVITY_LEVELS = {
+    "intercept": "''",
+    "place": "municipality_name",
+    "period": "CAST(period_static AS VARCHAR)",
+    "place_period": "municipality_name || '|' || CAST(period_static AS VARCHAR)",
+    "season": "period_seasonal",
+    "boat": "individual_boat",
+}
+WEEKLY = """SELECT trip_end_date_pds - CAST(dayofweek(trip_end_date_pds) AS INT) AS period_static, individual_boat, boat_code,
+    municipality_name, CAST(dayofweek(trip_end_date_pds) + 1 AS VARCHAR) AS period_seasonal, CAST(count(*) AS DOUBLE) AS n,
+    sum(trip_activity) AS k FROM panel WHERE municipality_name IS NOT NULL GROUP BY ALL"""
+
+
+def with_eta(source: str, effects: str, factors, keys: str = "") -> str:
+    """Rows of ``source`` with eta, the sum of the effects of their levels."""
+    draw = "AND {0}.draw = s.draw" if keys else ""
+    joins = " ".join(
+        f"LEFT JOIN (SELECT * FROM {effects} WHERE factor = '{f}') e_{f} ON e_{f}.boat_code = s.boat_code AND e_{f}.level = s.l_{f} {draw.format('e_' + f)}"
+        for f in factors
+    )
+    return f"SELECT s.*, {' + '.join(f'coalesce(e_{f}.value, 0)' for f in factors)} AS eta FROM {source} s {joins}"
+
+
+def scored(source: str, effects: str, shares: str, factors) -> str:
+    rate = "1 / (1 + exp(-eta))"
+    return f"""SELECT *, rows * (1 - chance) * n * p * (1 - p) AS w, rows * (1 - chance) * (k - n * p) AS r FROM (
+        SELECT *, CASE WHEN k = 0 AND share > 0 THEN share / (share + (1 - share) * pow(1 - p, n)) ELSE 0 END AS chance FROM (
+        SELECT *, {rate} AS p FROM ({with_eta(source, effects, factors)}) JOIN {shares} USING (boat_code)))"""
+
+
+def precisions(effects: str) -> str:
+    return f"""SELECT boat_code, factor, CASE WHEN factor = 'intercept' THEN 0 ELSE 1 / greatest(avg(value * value + variance), 1e-4) END
+        AS precision FROM {effects} GROUP BY boat_code, factor"""
+
+
+def by_level(source: str, factors, columns: str) -> str:
+    return " UNION ALL ".join(f"SELECT boat_code, '{f}' AS factor, l_{f} AS level, {columns} FROM {source} GROUP BY ALL" for f in factors)
+
+
+def links(source: str, factors) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT boat_code, '{a}' AS factor, l_{a} AS level, '{b}' AS other, l_{b} AS other_level, sum(w) AS weight
+        FROM {source} GROUP BY ALL"""
+        for a in factors
+        for b in factors
+        if a != b
+    )
+
+
+def solved(name: str, system: str, linked: str, keys: str, iterations: int) -> dict[str, str]:
+    """Conjugate gradients as a chain of tables, the last one ``name``_x."""
+    level = f"{keys}, factor, level"
+    out = {f"{name}_s0": f"SELECT {level}, size, 0.0::DOUBLE AS x, score AS r, score / size AS p FROM {system}"}
+    own = ", ".join(f"s.{c.strip()}" for c in keys.split(","))
+    for i in range(iterations):
+        out[f"{name}_q{i}"] = f"""SELECT s.*, size * s.p + coalesce(pull, 0) AS q FROM {name}_s{i} s LEFT JOIN (
+            SELECT {own}, l.factor, l.level, sum(l.weight * s.p) AS pull FROM {linked} l JOIN {name}_s{i} s ON l.boat_code = s.boat_code
+            AND l.other = s.factor AND l.other_level = s.level GROUP BY ALL) USING ({level})"""
+        out[f"{name}_f{i}"] = f"""SELECT {keys}, ahead, coalesce(greatest(rr - 2 * ahead * rq + ahead * ahead * qq, 0) / nullif(rr, 0), 0) AS turn
+            FROM (SELECT *, coalesce(rr / nullif(pq, 0), 0) AS ahead FROM (SELECT {keys}, sum(r * r / size) AS rr, sum(p * q) AS pq,
+            sum(r * q / size) AS rq, sum(q * q / size) AS qq FROM {name}_q{i} GROUP BY {keys}))"""
+        out[f"{name}_s{i + 1}"] = f"""SELECT {level}, size, x + ahead * p AS x, r - ahead * q AS r, (r - ahead * q) / size + turn * p AS p
+            FROM {name}_q{i} JOIN {name}_f{i} USING ({keys})"""
+    out[f"{name}_x"] = f"SELECT {level}, x FROM {name}_s{iterations}"
+    return out
+
+
+def fitted(rounds: int, iterations: int) -> dict[str, str]:
+    """The activity model of the panel: tables effects_N, shares_N, precisions_N, and the cells."""
+    factors = list(ACTIVITY_LEVELS)
+    named = ", ".join(f"{expr} AS l_{f}" for f, expr in ACTIVITY_LEVELS.items())
+    out = {
+        "weekly": WEEKLY,
+        "cells": f"SELECT *, {named} FROM (SELECT *, 1.0::DOUBLE AS rows FROM weekly)",
+        "pooled": "SELECT boat_code, sum(k) / sum(n) AS m, avg(CASE WHEN k = 0 THEN 1.0::DOUBLE ELSE 0 END) AS zeros FROM cells GROUP BY 1",
+        "effects_0": f"""SELECT boat_code, factor, level, CASE WHEN factor = 'intercept' THEN ln(m / (1 - m)) ELSE 0 END AS value,
+            1.0::DOUBLE AS variance, 0.0::DOUBLE AS weight FROM ({by_level("cells", factors, "count(*) AS n_rows")}) JOIN pooled USING (boat_code)""",
+        "shares_0": "SELECT boat_code, zeros * 0.5::DOUBLE AS share FROM pooled",
+    }
+    for i in range(rounds):
+        out[f"precisions_{i}"] = precisions(f"effects_{i}")
+        out[f"rows_{i}"] = scored("cells", f"effects_{i}", f"shares_{i}", factors)
+        out[f"system_{i}"] = f"""SELECT s.boat_code, s.factor, s.level, value, s.weight, s.weight + precision AS size, s.r - precision * value AS score
+            FROM ({by_level(f"rows_{i}", factors, "sum(w) AS weight, sum(r) AS r")}) s JOIN effects_{i} e USING (boat_code, factor, level)
+            JOIN precisions_{i} USING (boat_code, factor)"""
+        out[f"links_{i}"] = links(f"rows_{i}", factors)
+        out |= solved(f"cg{i}", f"system_{i}", f"links_{i}", "boat_code", iterations)
+        out[f"effects_{i + 1}"] = f"""SELECT boat_code, factor, level, value + greatest(least(x, 2), -2) AS value, 1 / size AS variance, weight
+            FROM system_{i} JOIN cg{i}_x USING (boat_code, factor, level)"""
+        out[f"shares_{i + 1}"] = f"SELECT boat_code, sum(chance * rows) / sum(rows) AS share FROM rows_{i} GROUP BY 1"
+    out[f"precisions_{rounds}"] = precisions(f"effects_{rounds}")
+    return out
+
+
+def stored(select: str, *ctes: str, **extra: str) -> str:
+    """Like ``sql``, with the extra tables kept while the query runs."""
+    return sql(select, *ctes, **{f"{n} ": body for n, body in extra.items()}).replace("  AS (", " AS MATERIALIZED (")
+
+
+def predicted(source: str, effects: str, factors, keys: str = "") -> str:
+    return f"SELECT *, (1 - share) / (1 + exp(-eta)) AS estimate FROM ({with_eta(source, effects, factors, keys)}) JOIN shares_3 USING (boat_code)"
+
+
+ROUNDS = 3
+PLACES = ["intercept", "place", "period", "place_period"]
+MODEL = fitted(ROUNDS, 3)
+ORACLES["q_glm_activity"] = stored(
+    "SELECT DISTINCT boat_code, municipality_name, period_static, period_seasonal, round(estimate, 5) AS estimate FROM predicted",
+    "panel",
+    **MODEL,
+    predicted=predicted("cells", "effects_3", [*PLACES, "season"]),
+)
+ORACLES["q_activity_variances"] = stored(
+    """SELECT boat_code, factor, count(*) AS n_levels, round(sum(weight), 4) AS weight,
+    round(max(CASE WHEN precision > 0 THEN 1 / sqrt(precision) END), 4) AS sd
+    FROM effects_3 JOIN precisions_3 USING (boat_code, factor) GROUP BY ALL""",
+    "panel",
+    **MODEL,
+)
+DRAWN = {
+    "last_rows": scored("cells", "effects_3", "shares_3", list(ACTIVITY_LEVELS)),
+    "by_unit": " UNION ALL ".join(
+        f"SELECT boat_code, individual_boat, '{f}' AS factor, l_{f} AS level, sum(r) AS r FROM last_rows GROUP BY ALL" for f in ACTIVITY_LEVELS
+    ),
+    "units": "SELECT DISTINCT individual_boat AS unit FROM weekly",
+    "resampled": drawn("units", "unit"),
+    "scores": """SELECT boat_code, factor, level, draw, CASE WHEN factor = 'boat' THEN 0 ELSE coalesce(got, 0) - base END AS score FROM (
+        SELECT * FROM (SELECT boat_code, factor, level, sum(r) AS base FROM by_unit GROUP BY ALL)
+        CROSS JOIN (SELECT CAST(unnest(range(1, 101)) AS INT) AS draw)) LEFT JOIN (SELECT boat_code, factor, level, draw, sum(r * dw) AS got FROM by_unit JOIN resampled ON unit = individual_boat GROUP BY ALL)
+        USING (boat_code, factor, level, draw)""",
+    "draw_system": """SELECT boat_code, factor, level, draw, score, value, weight + precision AS size FROM scores
+        JOIN effects_3 USING (boat_code, factor, level) JOIN precisions_3 USING (boat_code, factor)""",
+    "draw_links": links("last_rows", list(ACTIVITY_LEVELS)),
+    **solved("draws", "draw_system", "draw_links", "boat_code, draw", 3),
+    "draw_effects": """SELECT boat_code, factor, level, draw, value + x AS value FROM draw_system JOIN draws_x USING (boat_code, factor, level, draw)""",
+    "grid": f"""SELECT DISTINCT boat_code, municipality_name, period_static, {', '.join(f'l_{f}' for f in PLACES)}, draw
+        FROM cells, (SELECT CAST(unnest(range(1, 101)) AS INT) AS draw)""",
+}
+ORACLES["q_predict_grid"] = stored(
+    "SELECT boat_code, municipality_name, period_static, draw, round(estimate, 5) AS estimate FROM predicted",
+    "panel",
+    **MODEL,
+    **DRAWN,
+    predicted=predicted("grid", "draw_effects", PLACES, "draw"),
+)

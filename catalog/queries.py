@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import standins as S
 from shoalcast.functions import dates, numeric, text
-from shoalcast.operators import aggregates, draws, glm, joins, reshape, shrinkage, windows
+from shoalcast.operators import aggregates, crossed, draws, glm, joins, reshape, shrinkage, windows
 from shoalcast.plans import activity, catch, features, prices, totals, trips
 from shoalcast.schemas import GEARS
 from shoalcast.session import cut_lineage
@@ -540,15 +540,51 @@ def binomial_cells(spark, d):
     )
 
 
+ACTIVITY_FACTORS = {
+    "place": ["municipality_name"],
+    "period": ["period_static"],
+    "place_period": ["municipality_name", "period_static"],
+    "season": ["period_seasonal"],
+    "boat": ["individual_boat"],
+}
+ACTIVITY_GRID = ["boat_code", "municipality_name", "period_static", "period_seasonal"]
+
+
+def weekly_cells(spark, d):
+    """Days and active days by boat, week and weekday: the panel holds idle days."""
+    panel = S.panel(spark, d, period_static_unit="week", period_seasonal_function=F.dayofweek)
+    return cut_lineage(aggregates.activity_cells(panel))
+
+
+def activity_model(cells):
+    return crossed.fit_crossed(cells, "boat_code", ACTIVITY_FACTORS, "n_days", "n_trips", rounds=3, iterations=3)
+
+
 @query
 def glm_activity(spark, d):
-    """Zero-inflated binomial activity model, predicted per municipality and boat code."""
-    model = glm.fit_cells(
-        binomial_cells(spark, d), ["municipality_name", "boat_code", "period_seasonal"], "n_trips", "binomial",
-        trials="n_days", zero_inflated=True,
-    )
-    grid = S.order_cells(spark, d).select("municipality_name", "boat_code").distinct()
-    return glm.predict_grid(model, grid, ["municipality_name", "boat_code"])
+    """Zero-inflated binomial activity with crossed effects, predicted without the boats."""
+    cells = weekly_cells(spark, d)
+    grid = cells.select(*ACTIVITY_GRID).distinct()
+    return rounded(crossed.predict_crossed(activity_model(cells), grid, ["place", "period", "place_period", "season"]), 5)
+
+
+@query
+def activity_variances(spark, d):
+    """Standard deviation of each factor's effects, and how many levels it has."""
+    fit = activity_model(weekly_cells(spark, d))
+    levels = fit.effects.groupBy("boat_code", "factor").agg(F.count(F.lit(1)).alias("n_levels"), F.sum("weight").alias("weight"))
+    spread = F.when(F.col("precision") > 0, 1 / F.sqrt("precision")).alias("sd")
+    return rounded(levels.join(fit.precisions, ["boat_code", "factor"]).select("boat_code", "factor", "n_levels", "weight", spread), 4)
+
+
+@query
+def predict_grid(spark, d):
+    """Expected activity by cell and draw from the fitted model, boats resampled."""
+    cells = weekly_cells(spark, d)
+    fit = activity_model(cells)
+    drawn = crossed.draw_effects(fit, cells, "n_days", "n_trips", "individual_boat", S.DRAWS, 3, "md5")
+    grid = cells.select("boat_code", "municipality_name", "period_static").distinct()
+    return rounded(crossed.predict_crossed(fit, grid, ["place", "period", "place_period"], draws=drawn), 5)
 
 
 @query
