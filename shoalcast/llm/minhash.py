@@ -4,7 +4,13 @@ Each element (a hash of five consecutive words) owns weight regions; darts fall
 a Poisson process in rank, drawn from a hash of the element, so equal elements get equal darts
 in every document.  A coordinate keeps its earliest dart.  Equal bands of coordinates make
 candidates, and a candidate pair counts when the Jaccard similarity of its shingle sets reaches
-the threshold.  Texts with the same shingle set collapse first, so copies never pair up.
+the threshold.  Texts with the same shingle set collapse first, so copies never pair up.  Elements weigh 1 here, as
+the similarity is one of sets; ``dart_signatures`` takes any weights.
+
+``BANDS`` bands of ``ROWS`` coordinates miss a pair at 0.8 with probability 0.0004, and fewer above.  Every pair that
+shares a band is compared, connected otherwise, or ruled out by a bound: a vertex shares at most those of its
+shingles that some other vertex left in its buckets has too.  Texts that resemble each other just below the threshold fail that
+bound one by one, before any pair of them is formed.
 
 Nulls and texts without a word stand alone; a text of one to four words is one shingle of
 all its words, so it only groups with equal ones.  Repeated rows share a class.  Extra columns are not
@@ -21,15 +27,14 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shoalcast.llm.common import LOWER, SPACE_PARTED, U64, Words, chunks, mix, shingles, u64, utf8
-from shoalcast.session import cut_lineage
+from shoalcast.session import cut_lineage, drop_written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 36
+BANDS = 20
 ROWS = 5
 # Pairs of one step at most; more are taken in several steps.
 PAIRS_AT_ONCE = 200_000_000
-PAIRS_PER_TASK = 20_000
 ROWS_PER_TASK = 200_000
 
 
@@ -177,11 +182,15 @@ def components(edges: DataFrame, n: int) -> tuple[DataFrame, int]:
         least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(k)
         small = large.join(least, "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).where("u != v").coalesce(k)
-        links, after = written(small.distinct().coalesce(k), check)
+        stepped, after = written(small.distinct().coalesce(k), check)
+        drop_written(links)
+        links = stepped
         if after == before:
             break
         before = after
-    return links.select(F.col("u").alias("vertex"), F.col("v").alias("label")), before[0]
+    labels = links.select(F.col("u").alias("vertex"), F.col("v").alias("label"))
+    labels.written_path = links.written_path
+    return labels, before[0]
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -197,120 +206,150 @@ def near_duplicates(
     docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, class_id (the smallest doc_id of its
-    group of near duplicates), n_copies (rows with the same shingle set), is_kept.
+    group of near duplicates), n_copies (rows with the same shingle set), is_kept."""
+    return classes_of(docs, size, similarity, bands, rows)[0]
+
+
+def classes_of(
+    docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of ``near_duplicates`` and the written tables that they are read from.
 
-    Every pair that shares a band is compared or connected.  Each vertex is first compared with the smallest
-    centre of its buckets, and takes it as its label if they are near duplicates; then with the centres whose
-    label differs; where some stay apart, members that agree in two bands are compared with one of them, which
-    joins most of a large group; what is then not connected is compared with all members of its buckets.
+    A vertex is a distinct shingle set.  Each vertex is first compared with the smallest centre of its buckets, then
+    with the centres whose label differs.  In buckets that are not connected by then the bound of common shingles
+    rules vertices out, the rest meets the vertex with the least shingles of its own, and what is then not
+    connected is compared pair by pair, as far as the bound allows a link.
     """
     texts = docs.select("doc_id", "text")
-    signed = cut_lineage(texts.mapInArrow(sign(size, bands, rows), "doc_id long, d1 long, d2 long, n_shingles int, bands array<long>"))
+    signed = texts.mapInArrow(sign(size, bands, rows), "doc_id long, d1 long, d2 long, n_shingles int, bands array<long>")
+    signed = cut_lineage(signed.withColumn("row", F.monotonically_increasing_id()))
     wordless = signed.where("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"))
     some = signed.where("n_shingles > 0")
+    # A set goes by the number of its first row, whose bands stand for all its copies.
     vertices = cut_lineage(
-        some.groupBy("d1", "d2", "n_shingles")
-        .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.any_value("bands").alias("bands"))
-        .withColumn("vertex", F.monotonically_increasing_id())
+        some.groupBy("d1", "d2", "n_shingles").agg(F.min("row").alias("vertex"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"))
     )
-    members = vertices.select("vertex", "n_shingles", F.posexplode("bands").alias("pos", "band"))
+    own = some.select(F.col("row").alias("vertex"), "n_shingles", "bands").join(vertices.select("vertex"), "vertex", "left_semi")
+    members = own.select("vertex", "n_shingles", F.explode("bands").alias("band"))
     crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("vertex", "n_shingles")).alias("centre")).where("n > 1")
-    # Only buckets with two vertices or more matter from here on.
     crowded = crowded.select("band", F.col("centre.vertex").alias("centre"), F.col("centre.n_shingles").alias("n_centre"))
+    # Only buckets with two vertices or more matter from here on.
     buckets, (n,) = written(members.join(crowded, "band").where("vertex > centre"))
     close = F.least("n_shingles", "n_centre") >= F.lit(similarity) * F.greatest("n_shingles", "n_centre")
     sets = shingles_of(docs, vertices, buckets, n, size)
     nearest = buckets.where(close).groupBy("vertex").agg(F.min("centre").alias("a")).select("a", F.col("vertex").alias("b"))
     links, n_links = verified(nearest, sets, similarity)
+    done = [links]
     known = links.select(F.col("b").alias("vertex"), F.col("a").alias("label"))
     hubs = known.select(F.col("vertex").alias("centre"), F.col("label").alias("hub"))
     labelled = buckets.join(known, "vertex", "left").join(hubs, "centre", "left")
-    labelled = labelled.withColumns({"label": F.coalesce("label", "vertex"), "hub": F.coalesce("hub", "centre")})
-    labelled = cut_lineage(labelled.coalesce(tasks(n)))
+    labelled = cut_lineage(labelled.withColumns({"label": F.coalesce("label", "vertex"), "hub": F.coalesce("hub", "centre")}))
+    drop_written(buckets)
     stars = labelled.where(close & (F.col("label") != F.col("hub"))).select(F.col("centre").alias("a"), F.col("vertex").alias("b")).distinct()
     more, n_more = verified(stars, sets, similarity)
-    met = more.select(F.col("a").alias("centre"), F.col("b").alias("vertex"), F.lit(True).alias("met"))
+    done.append(more)
     links, n_links = links.union(more), n_links + n_more
-    linked = (F.col("label") == F.col("hub")) | F.coalesce("met", F.lit(False))
-    flagged = labelled.join(met, ["centre", "vertex"], "left").select("band", "pos", "vertex", "n_shingles", "label", linked.alias("linked"))
-    flagged = cut_lineage(flagged.coalesce(tasks(n)))
-    loose = F.sum(F.when(~F.col("linked"), 1).otherwise(0))
-    mixed = flagged.groupBy("band").agg(F.count(F.lit(1)).alias("n"), loose.alias("loose")).where("loose > 0 and n > 1").coalesce(tasks(n))
-    mixed, (_, at_most) = written(mixed, F.sum(F.col("n") * F.col("loose")))
-    if at_most:
-        held = flagged.drop("linked").join(mixed.select("band"), "band").join(vertices.select("vertex", "bands"), "vertex")
-        held = cut_lineage(held.coalesce(tasks(n)))
-        more, n_more = verified(likely_pairs(held, similarity), sets, similarity)
-        labels, n_links = components(links.union(more), n_links + n_more)
+    labels, n_labels = components(links, n_links)
+    done.append(labels)
+    links = labels.select(F.col("vertex").alias("a"), F.col("label").alias("b"))
+    # The centre is a member too.
+    whole = labelled.select("band", "vertex", "n_shingles").union(labelled.select("band", F.col("centre").alias("vertex"), F.col("n_centre").alias("n_shingles")).distinct())
+    held, (n_held,) = written(unconnected(with_labels(whole, labels)))
+    drop_written(labelled)
+    if n_held:
+        common = common_shingles(held, sets)
+        bounded = cut_lineage(held.join(common, "vertex").where(F.col("common") >= similarity * F.col("n_shingles")))
+        drop_written(held)
+        best = F.max(F.struct((F.col("common") / F.col("n_shingles")).alias("share"), (-F.col("vertex")).alias("order"), "vertex", "n_shingles", "common", "label"))
+        centres = bounded.groupBy("band").agg(best.alias("c")).select("band", *[F.col(f"c.{x}").alias(f"c_{x}") for x in ("vertex", "n_shingles", "common", "label")])
+        met = bounded.join(centres, "band").where((F.col("label") != F.col("c_label")) & may_link("common", "n_shingles", "c_common", "c_n_shingles", similarity))
+        more, n_more = verified(met.select(F.col("c_vertex").alias("a"), F.col("vertex").alias("b")).distinct(), sets, similarity)
+        done.append(more)
+        labels, n_labels = components(links.union(more), n_labels + n_more)
+        done.append(labels)
         links = labels.select(F.col("vertex").alias("a"), F.col("label").alias("b"))
-        # Buckets whose members are all connected by now are done.
-        held = cut_lineage(with_labels(held, labels).coalesce(tasks(n)))
-        labels_of = held.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"))
-        held = held.join(labels_of.where("least < most"), "band").withColumn("linked", F.col("label") == F.col("least")).drop("least", "most")
-        sizes = held.groupBy("band").agg(F.count(F.lit(1)).alias("n"), loose.alias("loose"))
+        left = cut_lineage(unconnected(with_labels(bounded, labels)))
+        drop_written(bounded)
+        least = left.groupBy("band").agg(F.min("label").alias("least"))
+        marked = left.join(least, "band").withColumn("linked", F.col("label") == F.col("least")).drop("least")
+        sizes = marked.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("loose"))
         at_most = sizes.agg(F.sum(F.col("n") * F.col("loose"))).first()[0] or 0
         slices = int(at_most) // PAIRS_AT_ONCE + 1
         for part in range(slices if at_most else 0):
-            pairs = loose_pairs(held, part, slices, similarity)
-            more, n_more = verified(pairs, sets, similarity)
-            links, n_links = links.union(more), n_links + n_more
-    labels = components(links, n_links)[0]
-    joined = with_labels(vertices.drop("bands"), labels)
+            more, n_more = verified(loose_pairs(marked, part, slices, similarity).distinct(), sets, similarity)
+            done.append(more)
+            links, n_labels = links.union(more), n_labels + n_more
+        drop_written(left)
+        if at_most:
+            labels, _ = components(links, n_labels)
+    drop_written(sets)
+    joined = with_labels(vertices, labels)
     least = joined.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    classes = joined.join(least, "label").select("d1", "d2", "n_shingles", "class_id", "n_copies")
+    classes = cut_lineage(joined.join(least, "label").select("d1", "d2", "n_shingles", "class_id", "n_copies"))
+    drop_written(vertices, *(table for table in done if table is not labels), labels)
     grouped = some.select("doc_id", "d1", "d2", "n_shingles").join(classes, ["d1", "d2", "n_shingles"]).select("doc_id", "class_id", "n_copies")
-    return grouped.union(wordless).withColumn("is_kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return grouped.union(wordless).withColumn("is_kept", F.col("doc_id").eqNullSafe(F.col("class_id"))), [signed, classes]
 
 
 def with_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.drop("label").join(labels.select("vertex", "label"), "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
 
 
-def likely_pairs(held: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different labels in which b agrees in two neighbouring bands with the smallest such vertex, a.
+def unconnected(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one label."""
+    labels = members.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
+    return members.join(labels.select("band"), "band", "left_semi")
 
-    Agreement in two bands is far likelier for near duplicates than for pairs below the threshold.
+
+def common_shingles(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """(vertex, common): how many shingles of a vertex another vertex of ``held`` has too.
+
+    Counted from the other side, by the shingles that only one vertex has: those are summed by vertex, so a
+    shingle of all vertices is one row.
     """
-    once = held.dropDuplicates(["vertex"])
-    last = F.size("bands") - 1
-    both = F.zip_with(F.slice("bands", F.lit(1), last), F.slice("bands", F.lit(2), last), lambda x, y: F.xxhash64(x, y))
-    keyed = once.select("vertex", "n_shingles", "label", F.explode(both).alias("key"))
-    first = keyed.groupBy("key").agg(F.min(F.struct("vertex", "n_shingles", "label")).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    close = F.least("n_shingles", "c.n_shingles") >= F.lit(similarity) * F.greatest("n_shingles", "c.n_shingles")
-    met = keyed.join(first.drop("n"), "key").where((F.col("vertex") > F.col("c.vertex")) & (F.col("label") != F.col("c.label")) & close)
-    return met.select(F.col("c.vertex").alias("a"), F.col("vertex").alias("b")).distinct()
+    mine = sets.join(held.select("vertex").distinct(), "vertex", "left_semi")
+    shingle = mine.select("vertex", F.explode("shingles").alias("shingle"))
+    alone = shingle.groupBy("shingle").agg(F.min("vertex").alias("vertex"), F.max("vertex").alias("other")).where("vertex = other")
+    counted = mine.select("vertex", F.size("shingles").alias("n")).join(alone.groupBy("vertex").agg(F.count(F.lit(1)).alias("alone")), "vertex", "left")
+    return counted.select("vertex", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
+
 
+def may_link(common_a: str, n_a: str, common_b: str, n_b: str, similarity: float):
+    """Whether two sets of these sizes that share no more than these reach ``similarity``: J = s / (na + nb - s)."""
+    share = F.least(F.col(common_a), F.col(common_b), F.col(n_a), F.col(n_b))
+    return share * (1 + similarity) >= F.lit(similarity) * (F.col(n_a) + F.col(n_b))
 
-def loose_pairs(held: DataFrame, part: int, slices: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of a bucket that are not connected yet.
 
-    A pair is looked at in the first band it shares only; if one is the centre there, they have been compared.
-    ``linked`` marks the members of one of the labels of the bucket, so that each pair comes once.
+def loose_pairs(left: DataFrame, part: int, slices: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of a bucket that are not connected yet and that the bound allows.
+
+    ``linked`` marks the members of one of the labels of the bucket, so that each pair comes once in a bucket.
     """
-    one = held.where(~F.col("linked") & (F.pmod(F.xxhash64("vertex"), F.lit(slices)) == part))
-    one = one.select("band", "pos", F.col("vertex").alias("a"), F.col("n_shingles").alias("na"), F.col("label").alias("la"), F.col("bands").alias("ba"))
-    two = held.select(F.col("band").alias("band2"), F.col("vertex").alias("b"), F.col("n_shingles").alias("nb"), F.col("label").alias("lb"), "linked", F.col("bands").alias("bb"))
-    earlier = F.exists(F.zip_with(F.slice("ba", 1, F.col("pos")), F.slice("bb", 1, F.col("pos")), lambda x, y: x == y), lambda same: same)
-    close = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
-    once = F.col("linked") | (F.col("a") < F.col("b"))
-    apart = (F.col("a") != F.col("b")) & (F.col("la") != F.col("lb"))
-    return one.join(two, (F.col("band") == F.col("band2")) & apart & once & close & ~earlier).select("a", "b")
+    mine = [F.col(c).alias(f"a_{c}") for c in ("vertex", "n_shingles", "label", "common")]
+    other = [F.col(c).alias(f"b_{c}") for c in ("vertex", "n_shingles", "label", "common")]
+    one = left.where(~F.col("linked") & (F.pmod(F.xxhash64("vertex"), F.lit(slices)) == part)).select("band", *mine)
+    two = left.select(F.col("band").alias("band2"), "linked", *other)
+    once = F.col("linked") | (F.col("a_vertex") < F.col("b_vertex"))
+    bound = may_link("a_common", "a_n_shingles", "b_common", "b_n_shingles", similarity)
+    pairs = one.join(two, (F.col("band") == F.col("band2")) & (F.col("a_label") != F.col("b_label")) & once & bound)
+    return pairs.select(F.least("a_vertex", "b_vertex").alias("a"), F.greatest("a_vertex", "b_vertex").alias("b"))
 
 
 def shingles_of(docs: DataFrame, vertices: DataFrame, buckets: DataFrame, n: int, size: int) -> DataFrame:
     """(vertex, shingles) of every member and centre of ``buckets`` (``n`` rows), read from one text each and written."""
     k = tasks(n)
     wanted = buckets.select("vertex").union(buckets.select("centre")).distinct().coalesce(k)
-    named = cut_lineage(wanted.join(vertices.select("vertex", "d1", "d2", "first_id"), "vertex").coalesce(k))
+    named = cut_lineage(wanted.join(vertices.select("vertex", "d1", "d2", "first_id"), "vertex"))
     texts = docs.select("doc_id", "text")
     ids = named.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct().coalesce(k)
     read = texts.join(ids, "doc_id", "left_semi").union(texts.where("doc_id is null"))
     sets = read.mapInArrow(shingle_rows(size), "d1 long, d2 long, shingles array<int>")
-    return cut_lineage(sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles")))
+    out = cut_lineage(sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles")))
+    drop_written(named)
+    return out
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, int]:
     """The pairs that are near duplicates, written, and their number."""
-    pairs, (n,) = written(pairs)
-    links, (m,) = written(similar(pairs, sets, similarity).coalesce(max(1, n // PAIRS_PER_TASK)))
+    links, (m,) = written(similar(pairs, sets, similarity))
     return links, m
