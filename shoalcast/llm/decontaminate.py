@@ -237,7 +237,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, size: int = PHRASE, block_bytes:
         .withColumn("__spans", F.array().cast(SPANS))
         .withColumn("__items", F.array().cast("array<string>"))
     )
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
+    schema = frame.schema
     for block in range(blocks):
         # About block_bytes of text, whatever the size of the benchmark.
         rows = [(r[0], r[1]) for r in numbered.where(F.col("block") == block).select("item_id", "text").collect()]

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from shoalcast.llm.common import ALNUM_PARTED, LOWER, Words, chunks, hash_rate, utf8
 from shoalcast.session import cut_lineage
@@ -266,5 +267,5 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], out: str = "score")
     """``docs`` with the probability in ``out`` (replaced if there already)."""
     base = docs.drop(out)
     read = base.withColumn("__text", F.col("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return read.mapInArrow(scorer(*model, base.columns), f"{schema}, __score double").withColumnRenamed("__score", out)
+    schema = StructType([*base.schema.fields, StructField("__score", DoubleType())])
+    return read.mapInArrow(scorer(*model, base.columns), schema).withColumnRenamed("__score", out)
