@@ -3,7 +3,8 @@ passages and secrets are cut out, what is left is packed.
 
 Every stage takes (spark, docs, sf_dir); its result is written as Parquet and read as the next one's
 docs.  All but the last return the columns they got; ``n_chars`` follows a changed text.  Rows with a
-null text pass the filters.  The second stage decides for each row by itself, whatever its doc_id.
+null text pass the filters.  The second stage decides for each row by itself, whatever its doc_id.  Other
+columns may have any name; texts may have any length; empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -15,48 +16,55 @@ from pyspark.sql import functions as F
 from shoalcast.llm import decontaminate, minhash, packing, secrets, toxicity
 from shoalcast.llm.common import table
 from shoalcast.llm.queries import toxicity_model
-from shoalcast.session import cut_lineage
+from shoalcast.session import cut_lineage, drop_written
 
 THRESHOLD = 0.7
 
 
-def changed(docs: DataFrame, text) -> DataFrame:
-    """``docs`` with another text, and n_chars recounted where it differs."""
-    frame = docs.withColumn("__new", text)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        count = F.when(F.col("__new").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.char_length("__new").cast(kind))
-        frame = frame.withColumn("n_chars", count)
-    return frame.withColumn("text", F.col("__new")).select(*docs.columns)
+def narrowed(docs: DataFrame) -> DataFrame:
+    """(text, others): the other columns in one, so that their names never meet those an operator adds."""
+    return docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("others"))
+
+
+def restored(frame: DataFrame, docs: DataFrame, text: str = "text", before: str = "text") -> DataFrame:
+    """The columns of ``docs`` with ``text`` of a narrowed frame; n_chars follows where it differs from ``before``."""
+    out = {"text": F.col(text).alias("text")}
+    if "n_chars" in docs.columns and text != before:
+        count = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(F.col(text).eqNullSafe(F.col(before)), F.col("others.n_chars")).otherwise(count).alias("n_chars")
+    return frame.select(*[out.get(c, F.col("others").getField(c).alias(c)) for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir), "__toxicity")
-    return scored.where(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+    scored = toxicity.score(narrowed(docs), toxicity_model(spark, sf_dir), "score")
+    return restored(scored.where(F.col("score") < THRESHOLD), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of a group stays: of the smallest doc_id, one without an id only if none has one."""
     # Written first: the key of a row must not change between reads.
-    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
-    found = minhash.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
-    found = cut_lineage(found.select(F.col("doc_id").alias("__row"), "class_id"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"]
-    kept = found.join(rows.select("__row", "doc_id"), "__row").groupBy("class_id").agg(first.alias("__row"))
-    gone = found.join(kept, ["class_id", "__row"], "left_anti").select("__row")
-    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
+    rows = cut_lineage(narrowed(docs).withColumn("row", F.monotonically_increasing_id()))
+    classes, tables = minhash.classes_of(rows.select(F.col("row").alias("doc_id"), "text"))
+    found = cut_lineage(classes.select(F.col("doc_id").alias("row"), "class_id"))
+    drop_written(*tables)
+    ids = rows.select("row", F.col("others.doc_id").alias("doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
+    kept = found.join(ids, "row").groupBy("class_id").agg(first.alias("row"))
+    gone = cut_lineage(found.join(kept, ["class_id", "row"], "left_anti").select("row"))
+    drop_written(found)
+    return restored(rows.join(gone, "row", "left_anti"), docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"))
+    marked = decontaminate.mark(narrowed(docs), table(spark, sf_dir, "benchmark"))
     text = F.when(F.size("__spans") > 0, decontaminate.without_spans(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
-    return changed(marked, text).select(*docs.columns)
+    return restored(marked.withColumn("cut", text), docs, "cut")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     forest, known = secrets.train(docs)
-    masked = secrets.redacted(docs.withColumn("__old", F.col("text")), forest, known)
-    return changed(masked.withColumnRenamed("text", "__masked").withColumnRenamed("__old", "text"), F.col("__masked")).select(*docs.columns)
+    masked = secrets.redacted(narrowed(docs).withColumn("before", F.col("text")), forest, known)
+    return restored(masked, docs, "text", "before")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,7 +84,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
+        if before is not None:
+            drop_written(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
