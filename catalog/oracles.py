@@ -25,6 +25,7 @@ BOAT_CODE = "CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'FURNITURE', 'BUILDING') TH
 SPECIES = """CASE WHEN p_size = 50 THEN 0 WHEN p_size = 49 THEN 99 WHEN p_size = 48 THEN NULL
     WHEN p_type = 'ECONOMY' THEN 45 WHEN p_type = 'SMALL' THEN 24 WHEN p_type = 'MEDIUM' THEN 50
     ELSE CAST(regexp_extract(p_brand, '[0-9]+') AS INT) END"""
+RECORD = "CAST({0} AS VARCHAR) || CASE WHEN occurrence > 1 THEN '-' || occurrence ELSE '' END"
 GEAR = """CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'GN' WHEN '2' THEN 'HL' WHEN '3' THEN 'LL'
     WHEN '4' THEN 'SN' ELSE 'MC' END"""
 
@@ -55,17 +56,18 @@ CTES = {
     "species": f"""SELECT CAST(code AS VARCHAR) AS species_code, min(p_retailprice) / 99991 AS a, 3.0::DOUBLE AS b,
         code / 2.0::DOUBLE AS minlength, code / 2.0::DOUBLE + 20 AS maxlength FROM (SELECT *, {SPECIES} AS code FROM part)
         WHERE code IS NOT NULL AND code <> 99 GROUP BY code""",
-    "answers": f"""SELECT l_orderkey, l_linenumber, {SPECIES} AS species, CASE WHEN p_size >= 45 THEN p_size + 25 END AS length,
+    "answers": f"""SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey,
+          l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS occurrence, {SPECIES} AS species, CASE WHEN p_size >= 45 THEN p_size + 25 END AS length,
         least(p_size // 10, 4) AS bin, CASE l_returnflag WHEN 'R' THEN 2 WHEN 'A' THEN 1 END AS use,
         CASE WHEN l_discount > 0.095 AND l_tax > 0.075 THEN -l_quantity WHEN l_discount < 0.005 AND l_tax < 0.005 THEN 30000.0
           WHEN l_discount > 0.045 AND l_discount < 0.055 THEN 0.0
           WHEN NOT (l_discount > 0.085 AND l_discount < 0.095) THEN l_quantity END AS n
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
-    "grp": """SELECT CAST(l_orderkey AS VARCHAR) AS record_id, CAST(l_linenumber - 1 AS VARCHAR) AS record,
+    "grp": f"""SELECT {RECORD.format('l_orderkey')} AS record_id, CAST(l_linenumber - 1 AS VARCHAR) AS record,
         CAST(max(species) AS VARCHAR) AS species_code, CASE max(use) WHEN 2 THEN 'sale' WHEN 1 THEN 'food' END AS use,
         CAST(max(length) AS DOUBLE) AS length, """
     + ", ".join(f"sum(n) FILTER (bin = {j}) AS n{j}" for j in range(5))
-    + """, sum(n) AS total FROM answers GROUP BY l_orderkey, l_linenumber""",
+    + """, sum(n) AS total FROM answers GROUP BY l_orderkey, occurrence, l_linenumber""",
     "lines": " UNION ALL ".join(
         f"""SELECT record_id, record, species_code, use, 'no_fish_by_length_group_no_individuals_{name}' AS question,
         {f'coalesce(length, 60.0)' if name == 'over60' else f'{mid}::DOUBLE'} AS mean_length, n{j} AS n, total FROM grp
@@ -95,9 +97,11 @@ CTES = {
         CASE WHEN sum(weight) IS NULL AND count(DISTINCT species_code) FILTER (species_code <> '0') = 0 THEN 0 ELSE sum(weight) END
           AS trip_catch, nullif(array_to_string(list_sort(list_distinct(flatten(list(
           coalesce(string_split(species_flags, ';'), []))))), ';'), '') AS species_flag FROM catch GROUP BY record_id""",
-    "fields": """SELECT *, substr(o_orderpriority, 1, 1) AS r, o_orderstatus AS s, CAST(o_orderdate AS DATE) AS d,
+    "fields": """SELECT *, 1 AS occurrence, substr(o_orderpriority, 1, 1) AS r, o_orderstatus AS s, CAST(o_orderdate AS DATE) AS d,
         o_custkey * 7919 + 12345 AS dg FROM orders""",
-    "typed": f"""SELECT CAST(o_orderkey AS VARCHAR) AS record_id, CAST(o_custkey AS VARCHAR) AS record_device_id,
+    "records": """SELECT f.* REPLACE (coalesce(a.occurrence, 1) AS occurrence) FROM fields f
+        LEFT JOIN (SELECT DISTINCT l_orderkey, occurrence FROM answers) a ON o_orderkey = l_orderkey""",
+    "typed": f"""SELECT {RECORD.format('o_orderkey')} AS record_id, CAST(o_custkey AS VARCHAR) AS record_device_id,
         CAST(o_custkey AS VARCHAR) AS trip_landing_site,
         s IN ('F', 'O') OR r <> '5' AS imei_typed,
         CASE WHEN s IN ('F', 'O') THEN dg WHEN r <> '5' THEN CAST(right(CAST(dg AS VARCHAR), 5) AS BIGINT) END AS imei_number,
@@ -125,7 +129,7 @@ CTES = {
         CASE WHEN fisher_number_men + fisher_number_women + fisher_number_children = 0 AND trip_platform IS NOT NULL
           THEN 'fisher_number__zero_fishers' END AS crew_flag,
         trip_catch_use, trip_n_species, trip_catch AS catch0, species_flag
-        FROM typed t LEFT JOIN (SELECT DISTINCT imei FROM boats) bt
+        FROM typed_records t LEFT JOIN (SELECT DISTINCT imei FROM boats) bt
           ON imei_number >= 9999 AND suffix(imei, CAST(imei_number AS VARCHAR))
         LEFT JOIN trip_catch c ON t.record_id = c.record_id""",
     "valued": """SELECT *, CASE WHEN val IS NULL AND catch0 = 0 AND trip_n_species = 0 THEN 0 WHEN val > 20000 THEN NULL
@@ -204,6 +208,8 @@ CTES = {
         FROM orders JOIN stations ON CAST(o_custkey AS VARCHAR) = station_code WHERE o_orderstatus IN ('F', 'O')) GROUP BY ALL""",
 }
 
+CTES["typed_records"] = CTES["typed"].replace("FROM fields", "FROM records")
+
 # Kept as tables while a query runs: DuckDB 2.0 stops with an internal error when dictionary
 # strings of the scan reach the draws.
 STORED = {"stations", "order_trips"}
@@ -212,7 +218,7 @@ CHAINS = {
     "tracked": ["pts", "trp", "tracked"],
     "catch": ["species", "answers", "grp", "lines", "cleaned", "flagged_lines", "catch"],
 }
-CHAINS["trips"] = [*CHAINS["catch"], "boats", "trip_catch", "fields", "typed", "matched", "valued", "trips"]
+CHAINS["trips"] = [*CHAINS["catch"], "boats", "trip_catch", "fields", "records", "typed_records", "matched", "valued", "trips"]
 CHAINS["wide_trips"] = [*CHAINS["trips"], "ranked", "wide", "wide_trips"]
 CHAINS["assigned"] = [*CHAINS["tracked"], "boats", "one_trip", "registry_size", "earlier", "assigned"]
 CHAINS["panel"] = [

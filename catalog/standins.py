@@ -2,12 +2,13 @@
 
 Points come from ``events``, boats and stations from ``customer`` and ``supplier``, the
 landing survey from ``orders``, ``lineitem`` and ``part``.  Missing and dirty values are
-made by expressions on other columns.  All rows of every table are used.
+made by expressions on other columns.  All rows of every table are used: a line item whose order and line number
+repeat goes to a record of its own, so each is one answer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoalcast.functions.numeric import cube_root_units
@@ -145,6 +146,15 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What tells line items of one order and number apart.
+REPEATS = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def record_id(key: Column) -> Column:
+    """The order's key, with the occurrence behind it from the second on."""
+    return F.concat_ws("-", key.cast("string"), F.when(F.col("occurrence") > 1, F.col("occurrence").cast("string")))
+
+
 def line_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as raw survey answers, still as numbers: species code, use (1 food, 2 sale), length, bin, count."""
     part = table(spark, sf_dir, "part").select(
@@ -160,9 +170,11 @@ def line_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((discount > 0.045) & (discount < 0.055), F.lit(0.0))
         .when(~((discount > 0.085) & (discount < 0.095)), quantity)
     )
-    lines = table(spark, sf_dir, "lineitem").select(
+    # Dealt by order once: the occurrence and the record's groups both follow from it.
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey").select(
         "l_orderkey",
         "l_linenumber",
+        F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*REPEATS)).alias("occurrence"),
         "l_partkey",
         F.when(F.col("l_returnflag") == "R", 2).when(F.col("l_returnflag") == "A", 1).alias("use"),
         count.alias("n"),
@@ -185,8 +197,8 @@ def survey_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col(f"n_{i}_{j}").cast("string").alias(f"{stem}no_fish_by_length_group_no_individuals_{b}")
             for j, b in enumerate(BINS)
         ]
-    wide = line_answers(spark, sf_dir).groupBy("l_orderkey").agg(*cells)
-    return wide.select(F.col("l_orderkey").cast("string").alias("uuid"), *texts)
+    wide = line_answers(spark, sf_dir).groupBy("l_orderkey", "occurrence").agg(*cells)
+    return wide.select(record_id(F.col("l_orderkey")).alias("uuid"), *texts)
 
 
 def months(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -243,9 +255,18 @@ def survey_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def survey_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip questions of every record: an order's, and once more for each further occurrence of its lines."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+    most = lines.groupBy(F.col("l_orderkey").cast("string").alias("uuid")).agg(F.max("n").cast("int").alias("most"))
+    fields = survey_fields(spark, sf_dir).join(most, "uuid", "left")
+    each = fields.withColumn("occurrence", F.explode(F.sequence(F.lit(1), F.coalesce("most", F.lit(1)))))
+    return each.withColumn("uuid", record_id(F.col("uuid"))).drop("most", "occurrence")
+
+
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All survey columns, as in one wide file."""
-    return survey_fields(spark, sf_dir).join(survey_groups(spark, sf_dir), "uuid", "left")
+    return survey_records(spark, sf_dir).join(survey_groups(spark, sf_dir), "uuid", "left")
 
 
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +308,7 @@ def catch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips_and_catch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Clean trips and catch lines; the lines are written once, as several steps read them."""
     lines = cut_lineage(catch(spark, sf_dir))
-    return clean_trips(survey_fields(spark, sf_dir), lines, boats(spark, sf_dir)), lines
+    return clean_trips(survey_records(spark, sf_dir), lines, boats(spark, sf_dir)), lines
 
 
 def wide_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

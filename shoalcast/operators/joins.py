@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoalcast.session import cut_lineage
+
 # A side is broadcast only after a count shows it has at most this many rows.
 BROADCAST_ROWS = 100_000
 # Keys holding at least this share of the rows are salted; there can be at most 1/share of them.
@@ -155,8 +157,8 @@ def asof_latest(
     """Give each event the latest history row dated strictly before it.
 
     The dates of a key, one row each, are lined up with its history dates and the last
-    history row is carried forward; the pairs of a key are never formed, and a key's line is
-    no longer than its calendar.  ``payload`` names the history columns to attach; among
+    history row is carried forward; the pairs of a key are never formed, and a key's line may
+    lie in many parts.  ``payload`` names the history columns to attach; among
     rows of one date the smallest payload wins.
     """
     dates = events.groupBy(by, event_date).agg(F.count(F.lit(1)).alias("__n"))
@@ -171,15 +173,33 @@ def asof_latest(
     )
     line = event_dates.unionByName(history_dates, allowMissingColumns=True)
     # At one date the event comes first, so it does not see that day's history.
-    so_far = Window.partitionBy("__by").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
     matches = (
-        line.withColumn("__match", F.last("__match", ignorenulls=True).over(so_far))
+        carried_forward(line, "__by", ["__t", "__kind"], "__match")
         .where((F.col("__kind") == 0) & F.col("__match").isNotNull())
         .select("__by", "__t", *[F.col(f"__match.{p}").alias(p) for p in payload])
     )
     return salted_join(events, matches, [by, event_date], ["__by", "__t"], spread, counts=dates)
 
 
+def carried_forward(line: DataFrame, by: str, order: Sequence[str], value: str, parts: int | None = None) -> DataFrame:
+    """``line`` with the last ``value`` of its key so far, as a segmented scan.
+
+    Rows are range partitioned by key and order, so a key with half of all rows spreads over many parts.  Each part
+    carries forward by itself; what a part of a key ends with goes to the key's later parts, which are one row each.
+    """
+    spark = line.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written, as the number of a part must not change between reads.
+    placed = cut_lineage(line.repartitionByRange(parts, by, *order).withColumn("__part", F.spark_partition_id()))
+    so_far = Window.partitionBy("__part", by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    own = placed.withColumn("__own", F.last(value, ignorenulls=True).over(so_far)).drop(value)
+    seen = F.when(F.col(value).isNotNull(), F.struct(*order))
+    ends = placed.groupBy("__part", by).agg(F.max_by(value, seen).alias("__end"))
+    earlier = Window.partitionBy(by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select("__part", by, F.last("__end", ignorenulls=True).over(earlier).alias("__carry")).where(F.col("__carry").isNotNull())
+    return own.join(carry, ["__part", by], "left").withColumn(value, F.coalesce("__own", "__carry")).drop("__own", "__carry", "__part")
+
+
 def full_outer(
     left: DataFrame,
     right: DataFrame,
