@@ -890,14 +890,14 @@ def links(source: str, factors) -> str:
     )
 
 
-def solved(name: str, system: str, linked: str, keys: str, iterations: int) -> dict[str, str]:
+def solved(name: str, system: str, linked: str, keys: str, iterations: int, by: str = "boat_code") -> dict[str, str]:
     """Conjugate gradients as a chain of tables, the last one ``name``_x."""
     level = f"{keys}, factor, level"
     out = {f"{name}_s0": f"SELECT {level}, size, 0.0::DOUBLE AS x, score AS r, score / size AS p FROM {system}"}
     own = ", ".join(f"s.{c.strip()}" for c in keys.split(","))
     for i in range(iterations):
         out[f"{name}_q{i}"] = f"""SELECT s.*, size * s.p + coalesce(pull, 0) AS q FROM {name}_s{i} s LEFT JOIN (
-            SELECT {own}, l.factor, l.level, sum(l.weight * s.p) AS pull FROM {linked} l JOIN {name}_s{i} s ON l.boat_code = s.boat_code
+            SELECT {own}, l.factor, l.level, sum(l.weight * s.p) AS pull FROM {linked} l JOIN {name}_s{i} s ON l.{by} = s.{by}
             AND l.other = s.factor AND l.other_level = s.level GROUP BY ALL) USING ({level})"""
         out[f"{name}_f{i}"] = f"""SELECT {keys}, ahead, coalesce(greatest(rr - 2 * ahead * rq + ahead * ahead * qq, 0) / nullif(rr, 0), 0) AS turn
             FROM (SELECT *, coalesce(rr / nullif(pq, 0), 0) AS ahead FROM (SELECT {keys}, sum(r * r / size) AS rr, sum(p * q) AS pq,
@@ -986,3 +986,137 @@ ORACLES["q_predict_grid"] = stored(
     **DRAWN,
     predicted=predicted("grid", "draw_effects", PLACES, "draw"),
 )
+
+
+# Closed forms and simulation ------------------------------------------------------------
+
+oracle(
+    "glm_moments",
+    f"""SELECT municipality_name, {same(7, "effect_1", "effect_2", "var_1", "var_2", "covariance", "correlation")} FROM (
+    SELECT municipality_name, t1 AS var_1, t2 AS var_2, c AS covariance, c / sqrt(t1 * t2) AS correlation,
+    CASE WHEN d2 IS NULL AND d1 IS NOT NULL THEN t1 * d1 / a WHEN d1 IS NULL AND d2 IS NOT NULL THEN c * d2 / b
+      ELSE coalesce((t1 * (b * d1 - c * d2) + c * (a * d2 - c * d1)) / (a * b - c * c), 0) END AS effect_1,
+    CASE WHEN d2 IS NULL AND d1 IS NOT NULL THEN c * d1 / a WHEN d1 IS NULL AND d2 IS NOT NULL THEN t2 * d2 / b
+      ELSE coalesce((c * (b * d1 - c * d2) + t2 * (a * d2 - c * d1)) / (a * b - c * c), 0) END AS effect_2
+    FROM (SELECT municipality_name, t1, t2, c, t1 + s1 AS a, t2 + s2 AS b, y1 - m1 AS d1, y2 - m2 AS d2 FROM logits, bounded))""",
+    "stations",
+    "order_cells",
+    logits="""SELECT municipality_name, ln((k1 + 0.5) / (n1 - k1 + 0.5)) AS y1, 1 / (k1 + 0.5) + 1 / (n1 - k1 + 0.5) AS s1,
+    ln((k2 + 0.5) / (n2 - k2 + 0.5)) AS y2, 1 / (k2 + 0.5) + 1 / (n2 - k2 + 0.5) AS s2 FROM (SELECT municipality_name,
+    sum(CASE WHEN boat_code = '1' THEN n_days END)::DOUBLE AS n1, sum(CASE WHEN boat_code = '1' THEN n_trips END) AS k1,
+    sum(CASE WHEN boat_code = '2' THEN n_days END)::DOUBLE AS n2, sum(CASE WHEN boat_code = '2' THEN n_trips END) AS k2
+    FROM order_cells GROUP BY 1)""",
+    moments="""SELECT avg(y1) AS m1, avg(y2) AS m2, greatest(var_samp(y1) - avg(s1), 1e-6) AS t1,
+    greatest(var_samp(y2) - avg(s2), 1e-6) AS t2, covar_samp(y1, y2) AS raw FROM logits""",
+    bounded="SELECT *, coalesce(greatest(least(raw, 0.99 * sqrt(t1 * t2)), -0.99 * sqrt(t1 * t2)), 0) AS c FROM moments",
+)
+
+
+def shares_below(i: int, above: str, keys: str) -> dict[str, str]:
+    """One level of the hierarchy of gear shares."""
+    join = f"JOIN parent_{i} p USING ({above})" if above else f", parent_{i} p"
+    return {
+        f"sizes_{i}": f"SELECT {keys}, sum(x) AS n FROM (SELECT {keys}, trip_gear, count(*)::DOUBLE AS x FROM order_trips GROUP BY ALL) GROUP BY ALL",
+        f"cells_{i}": f"""SELECT g.*, coalesce(x, 0) AS x, count(*) OVER (PARTITION BY {keys}) AS g FROM (
+            SELECT {keys}, s.n, p.trip_gear, p.estimate AS prior FROM sizes_{i} s {join}) g
+            LEFT JOIN (SELECT {keys}, trip_gear, count(*)::DOUBLE AS x FROM order_trips GROUP BY ALL) USING ({keys}, trip_gear)""",
+        f"kappa_{i}": f"""SELECT (1 - rho) / rho AS kappa FROM (SELECT coalesce(least(greatest(sum(chi - (g - 1)) / nullif(sum((g - 1) * (n - 1)), 0),
+            1e-6), 1 - 1e-6), 1e-6) AS rho FROM (SELECT {keys}, sum(pow(x - n * prior, 2) / (n * prior)) AS chi, max(n) AS n, max(g) AS g
+            FROM cells_{i} GROUP BY {keys}))""",
+        f"parent_{i + 1}": f"SELECT {keys}, trip_gear, x, n, (x + kappa * prior) / (n + kappa) AS estimate, kappa FROM cells_{i}, kappa_{i}",
+    }
+
+
+ORACLES["q_gear_mix_hierarchy"] = stored(
+    f"""SELECT boat_type, municipality_name, period_static, trip_gear, x::BIGINT AS n, n::BIGINT AS size, {same(6, "estimate", "kappa")} FROM parent_3""",
+    "stations",
+    "order_trips",
+    parent_0="SELECT trip_gear, count(*)::DOUBLE / sum(count(*)) OVER () AS estimate FROM order_trips GROUP BY 1",
+    **shares_below(0, "", "boat_type"),
+    **shares_below(1, "boat_type", "boat_type, municipality_name"),
+    **shares_below(2, "boat_type, municipality_name", "boat_type, municipality_name, period_static"),
+)
+
+oracle(
+    "parametric_bootstrap",
+    """SELECT boat_code, municipality_name, 0.95::DOUBLE AS width, round(quantile_cont(estimate, 0.5), 7) AS median, round(avg(estimate), 7) AS mean,
+    round(quantile_cont(estimate, 0.025), 7) AS lower, round(quantile_cont(estimate, 0.975), 7) AS upper FROM refitted GROUP BY ALL""",
+    "stations",
+    "order_cells",
+    sums="""SELECT boat_code, municipality_name, sum(n_days) AS n_days, sum(n_trips) AS n_trips FROM order_cells GROUP BY ALL""",
+    hyper=rate_hyper("sums", "boat_code"),
+    fit=shrunk_rate("sums", "hyper", "boat_code"),
+    uniforms=f"""SELECT boat_code, municipality_name, order_cells.n_days, least(greatest(estimate, 0), 1 - 1e-12) AS p, draw::INT AS draw,
+    CAST(('0x' || substr(md5(individual_boat || '/' || period_static || '.0-' || draw), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE AS u
+    FROM order_cells JOIN fit USING (boat_code, municipality_name), range(1, {DRAWS + 1}) t(draw)""",
+    steps="SELECT DISTINCT boat_code, municipality_name, n_days, p FROM uniforms",
+    terms="""SELECT boat_code, municipality_name, n_days, p, list_reduce(
+      list_prepend([pow(1 - p, n_days)], list_transform(range(1, n_days + 1), lambda i: [(n_days - i + 1)::DOUBLE / i * (p / (1 - p))])),
+      lambda a, b: list_append(a, a[-1] * b[1])) AS pmf FROM steps""",
+    below="SELECT * EXCLUDE (pmf), list_transform(range(1, n_days + 1), lambda i: list_sum(pmf[1:i])) AS cdf FROM terms",
+    drawn_trips="""SELECT boat_code, municipality_name, draw, sum(n_days) AS n_days, sum(len(list_filter(cdf, lambda c: c <= u)))::DOUBLE AS n_trips
+    FROM uniforms JOIN below USING (boat_code, municipality_name, n_days, p) GROUP BY ALL""",
+    drawn_hyper=rate_hyper("drawn_trips", "boat_code, draw"),
+    refitted=shrunk_rate("drawn_trips", "drawn_hyper", "boat_code, draw"),
+)
+
+# Files and days ----------------------------------------------------------------------------
+
+oracle(
+    "point_files",
+    """SELECT trip, start, "end", "range", boat_id, boat_name, community, CASE WHEN day(day) % 2 = 1 THEN imei END AS imei, day FROM trp""",
+    "pts",
+    "trp",
+)
+oracle(
+    "days_rewritten",
+    """SELECT day, count(*) AS n, round(sum(range_meters), 4) AS metres FROM pts
+    WHERE day < DATE '2024-01-16' OR range_meters > 100
+      OR day NOT IN (SELECT day FROM pts WHERE day >= DATE '2024-01-16' AND range_meters > 100) GROUP BY 1""",
+    "pts",
+)
+oracle(
+    "sketch_ranks",
+    """SELECT municipality_name, unnest([0.025, 0.17, 0.5, 0.83, 0.975])::DOUBLE AS mark, count(trip_value_po_3) AS n, TRUE AS within
+    FROM order_trips GROUP BY 1""",
+    "stations",
+    "order_trips",
+)
+
+# Robust prices: the rounds of the t fit --------------------------------------------------------
+
+
+def student(rounds: int, iterations: int, freedom: float = 4.0) -> dict[str, str]:
+    out = {
+        "slots": """SELECT record_id, ln(trip_price) AS y, weight_1 + weight_2 + weight_other AS total, unnest([
+            {'level': species_code_1, 'w': weight_1}, {'level': species_code_2, 'w': weight_2}, {'level': species_code_other, 'w': weight_other}]) AS m
+            FROM wide_trips WHERE trip_price > 0 AND trip_platform = 'boat'""",
+        "terms": """SELECT record_id, 'species' AS factor, m.level AS level, sum(m.w / total) AS x, any_value(y) AS y FROM slots WHERE m.w > 0 GROUP BY ALL
+            UNION ALL SELECT record_id, 'intercept', '', 1.0::DOUBLE, any_value(y) FROM slots WHERE m.w > 0 GROUP BY ALL""",
+        "priced": "SELECT record_id, y FROM terms WHERE factor = 'intercept'",
+        "eff_0": """SELECT factor, level, CASE WHEN factor = 'intercept' THEN (SELECT avg(y) FROM priced) ELSE 0 END AS value, 1.0::DOUBLE AS variance
+            FROM (SELECT DISTINCT factor, level FROM terms)""",
+        "scale_0": "SELECT greatest(var_samp(y), 1e-4) AS scale FROM priced",
+    }
+    for i in range(rounds):
+        out[f"res_{i}"] = f"""SELECT record_id, y - fitted AS r, omega, omega / scale AS w FROM (SELECT record_id, y, fitted, scale,
+            ({freedom} + 1) / ({freedom} + (y - fitted) * (y - fitted) / scale) AS omega FROM priced JOIN (
+            SELECT record_id, sum(x * value) AS fitted FROM terms JOIN eff_{i} USING (factor, level) GROUP BY 1) USING (record_id), scale_{i})"""
+        out[f"prec_{i}"] = f"SELECT 1 / greatest(avg(value * value + variance), 1e-4) AS prec FROM eff_{i} WHERE factor <> 'intercept'"
+        out[f"sys_{i}"] = f"""SELECT 0 AS fit, factor, level, value, weight + p AS size, pull - p * value AS score FROM (
+            SELECT s.*, value, CASE WHEN factor = 'intercept' THEN 0 ELSE prec END AS p FROM (SELECT factor, level, sum(w * x * x) AS weight,
+            sum(w * x * r) AS pull FROM terms JOIN res_{i} USING (record_id) GROUP BY ALL) s JOIN eff_{i} USING (factor, level), prec_{i})"""
+        out[f"lnk_{i}"] = f"""SELECT 0 AS fit, a.factor, a.level, b.factor AS other, b.level AS other_level, sum(w * a.x * b.x) AS weight FROM terms a
+            JOIN terms b USING (record_id) JOIN res_{i} USING (record_id) WHERE a.factor <> b.factor OR a.level <> b.level GROUP BY ALL"""
+        out |= solved(f"t{i}", f"sys_{i}", f"lnk_{i}", "fit", iterations, "fit")
+        out[f"eff_{i + 1}"] = f"SELECT factor, level, value + x AS value, 1 / size AS variance FROM sys_{i} JOIN t{i}_x USING (fit, factor, level)"
+        out[f"scale_{i + 1}"] = f"SELECT greatest(avg(omega * r * r), 1e-4) AS scale FROM res_{i}"
+    return out
+
+
+ORACLES["q_price_student"] = stored(
+    """SELECT level AS species_code, round(value, 4) AS effect, round(value + (SELECT value FROM eff_2 WHERE factor = 'intercept'), 4) AS estimate
+    FROM eff_2 WHERE factor <> 'intercept'""",
+    "wide_trips",
+    **student(2, 3),
+)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 
 from catalog import standins as S
 from shoalcast.functions import dates, numeric, text
-from shoalcast.operators import aggregates, crossed, draws, glm, joins, reshape, shrinkage, windows
-from shoalcast.plans import activity, catch, features, prices, totals, trips
+from shoalcast.operators import aggregates, crossed, draws, glm, joins, membership, reshape, shrinkage, windows
+from shoalcast.plans import activity, catch, features, points, prices, totals, trips
 from shoalcast.schemas import GEARS
-from shoalcast.session import cut_lineage
+from shoalcast.session import cut_lineage, removed_at_exit, shared_folder
+from shoalcast.sources import writers
 from shoalcast.sources.readers import time_filtered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -531,13 +533,7 @@ def gear_share_table(spark, d):
     return rounded(totals.gear_share_table(totals.gear_draws(S.order_trips(spark, d), S.DRAWS, hash_name="md5")), 5)
 
 
-# Spark ML: no SQL twin ----------------------------------------------------------------------
-
-
-def binomial_cells(spark, d):
-    return glm.level_cells(
-        S.order_cells(spark, d), ["municipality_name", "boat_code", "period_seasonal"], ["n_days", "n_trips"]
-    )
+# Models in tables ---------------------------------------------------------------------------
 
 
 ACTIVITY_FACTORS = {
@@ -587,6 +583,97 @@ def predict_grid(spark, d):
     return rounded(crossed.predict_crossed(fit, grid, ["place", "period", "place_period"], draws=drawn), 5)
 
 
+@query
+def glm_moments(spark, d):
+    """Canoe and motor activity of a place as correlated effects."""
+    logits = shrinkage.logit_cells(S.order_cells(spark, d), "municipality_name", "boat_code", ["1", "2"], "n_days", "n_trips")
+    return rounded(shrinkage.shrunk_pairs(cut_lineage(logits), "municipality_name"), 7)
+
+
+@query
+def price_student(spark, d):
+    """Robust log price per species with Student-t errors."""
+    members = prices.memberships(S.boat_trips(S.wide_trips(spark, d)))
+    return rounded(membership.species_effects(members, rounds=2, iterations=3), 4)
+
+
+@query
+def gear_mix_hierarchy(spark, d):
+    """Gear shares by boat type, place and month, each level with its own concentration."""
+    levels = ["boat_type", "municipality_name", "period_static"]
+    counts = S.order_trips(spark, d).groupBy(*levels, "trip_gear").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(shrinkage.hierarchical_shares(cut_lineage(counts), levels, "trip_gear", "n"), 6)
+
+
+@query
+def parametric_bootstrap(spark, d):
+    """Activity rates refitted to trips simulated from the fit, as intervals over draws."""
+    cells = S.order_cells(spark, d)
+    keys = ["boat_code", "municipality_name"]
+    fitted = shrinkage.shrunk_rates(cells.groupBy(*keys).agg(F.sum("n_days").alias("n_days"), F.sum("n_trips").alias("n_trips")), ["boat_code"])
+    rows = cells.join(fitted.select(*keys, "estimate"), keys)
+    key = F.concat_ws("/", "individual_boat", F.col("period_static").cast("string"))
+    simulated = draws.simulated_trips(rows, key, S.DRAWS, "n_days", "estimate", "k", "md5")
+    sums = simulated.groupBy(*keys, "draw").agg(F.sum("n_days").alias("n_days"), F.sum("k").cast("double").alias("n_trips"))
+    refitted = shrinkage.shrunk_rates(cut_lineage(sums), ["boat_code", "draw"])
+    return rounded(aggregates.interval_summary(refitted, keys, "estimate", (0.95,)), 7)
+
+
+# Files and days ---------------------------------------------------------------------------------
+
+
+def scratch_folder(spark):
+    path = f"{shared_folder(spark).rstrip('/')}/shoalcast-files-{uuid.uuid4().hex}"
+    removed_at_exit(spark, path)
+    return path
+
+
+@query
+def point_files(spark, d):
+    """Daily point files to trips (C12, S9-S12): odd days have an imei column, even ones have none."""
+    folder = scratch_folder(spark)
+    rows = S.points(spark, d).withColumns({"odd": F.day("day") % 2 == 1, "time": F.col("time").cast("string")})
+    rows = rows.withColumnsRenamed({"range_meters": "Range Meters", "boat_name": "Boat Name"})
+    writers.write_csv_by_day(rows.where("odd").drop("odd"), f"{folder}/with")
+    writers.write_csv_by_day(rows.where("not odd").drop("odd", "imei"), f"{folder}/without")
+    return points.points_to_trips(spark, folder, "*.csv")
+
+
+@query
+def days_rewritten(spark, d):
+    """Days written, some of them again with other rows: the rest stays."""
+    path = scratch_folder(spark)
+    rows = S.points(spark, d).select("trip", "range_meters", "day")
+    first = F.lit("2024-01-16").cast("date")
+    writers.write_by_day(rows, path)
+    writers.write_by_day(rows.where((F.col("day") >= first) & (F.col("range_meters") > 100)), path)
+    back = spark.read.parquet(path).withColumn("day", F.col("day").cast("date"))
+    return rounded(back.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("range_meters").alias("metres")), 4)
+
+
+@query
+def sketch_ranks(spark, d):
+    """Quantiles from merged sketches of each gear's trips, held against their exact ranks."""
+    rows = S.order_trips(spark, d).select("municipality_name", "trip_gear", F.col("trip_value_po_3").alias("value"))
+    parts = aggregates.sketches(rows, ["municipality_name", "trip_gear"], "value")
+    found = aggregates.sketch_quantiles(aggregates.merged_sketches(parts, ["municipality_name"]), ["municipality_name"], (0.025, 0.17, 0.5, 0.83, 0.975))
+    found = cut_lineage(found)
+    below = F.count_if(F.col("value") < F.col("quantile")).alias("below")
+    upto = F.count_if(F.col("value") <= F.col("quantile")).alias("upto")
+    ranks = rows.join(found, "municipality_name").groupBy("municipality_name", "mark", "n").agg(below, upto)
+    off = F.greatest(F.col("below") / F.col("n") - F.col("mark"), F.col("mark") - F.col("upto") / F.col("n"), F.lit(0.0))
+    return ranks.select("municipality_name", "mark", "n", (off <= 0.01 + 1 / F.col("n")).alias("within"))
+
+
+# Spark ML: no SQL twin ----------------------------------------------------------------------
+
+
+def binomial_cells(spark, d):
+    return glm.level_cells(
+        S.order_cells(spark, d), ["municipality_name", "boat_code", "period_seasonal"], ["n_days", "n_trips"]
+    )
+
+
 @query
 def glm_joint(spark, d):
     _, effects, _ = glm.fit_joint(

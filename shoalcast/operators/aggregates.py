@@ -108,6 +108,28 @@ def interval_summary(
     )
 
 
+def sketches(draws: DataFrame, keys: Sequence[str], value: str, size: int = 800) -> DataFrame:
+    """A quantile sketch (KLL) of the values of each key, of bounded size however many draws there are.
+
+    Ranks are off by about 1.65 / ``size`` with 99 % confidence, 0.3 % by default.  Sketches of parts of the draws, kept
+    from several runs, add up by :func:`merged_sketches`.
+    """
+    return draws.groupBy(*keys).agg(F.expr(f"kll_sketch_agg_double({value}, {size})").alias("sketch"), F.count(value).alias("n"))
+
+
+def merged_sketches(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sketches of several parts of the same keys as one, pair by pair."""
+    merge = F.expr("aggregate(slice(s, 2, size(s)), s[0], (a, b) -> kll_sketch_merge_double(a, b))")
+    packed = parts.groupBy(*keys).agg(F.collect_list("sketch").alias("s"), F.sum("n").alias("n"))
+    return packed.select(*keys, merge.alias("sketch"), "n")
+
+
+def sketch_quantiles(sketched: DataFrame, keys: Sequence[str], marks: Sequence[float]) -> DataFrame:
+    """(keys, mark, quantile, n) for each mark."""
+    each = [F.struct(F.lit(float(m)).alias("mark"), F.expr(f"kll_sketch_get_quantile_double(sketch, {float(m)}D)").alias("quantile")) for m in marks]
+    return sketched.select(*keys, "n", F.explode(F.array(*each)).alias("q")).select(*keys, "q.mark", "q.quantile", "n")
+
+
 def order_levels(df: DataFrame, level: str, stat: Column, descending: bool = False) -> DataFrame:
     """Levels with the statistic that orders them (A18), one row per level."""
     stats = df.groupBy(level).agg(stat.alias("level_stat"))

@@ -1,4 +1,4 @@
-"""Uncertainty by a deterministic Poisson bootstrap."""
+"""Uncertainty by a deterministic bootstrap: Poisson weights of units, or numbers simulated from a fit."""
 
 from __future__ import annotations
 
@@ -51,3 +51,58 @@ def with_draws(df: DataFrame, key: str, draws: int, hash_name: str = "xxhash64")
     exploded = df.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     weighted = exploded.withColumn("draw_weight", poisson_weight(draw_uniform(F.col(key), F.col("draw"), hash_name)))
     return weighted.where(F.col("draw_weight") > 0)
+
+
+# Trials of one inverse-CDF draw; more are drawn in several parts.
+TRIALS = 64
+
+
+def binomial_quantile(uniform: Column, trials: Column, rate: Column) -> Column:
+    """The smallest number of successes whose cumulative probability exceeds ``uniform``: one walk up the distribution."""
+    ratio = rate / (1 - rate)
+
+    def next_term(state: Column, i: Column) -> Column:
+        term = state["term"] * (trials - i + 1) / i * ratio
+        return F.struct(
+            term.alias("term"), (state["below"] + term).alias("below"), (state["k"] + F.when(state["below"] <= uniform, 1).otherwise(0)).cast("long").alias("k")
+        )
+
+    first = F.pow(1 - rate, trials)
+    start = F.struct(first.alias("term"), first.alias("below"), F.lit(0).cast("long").alias("k"))
+    steps = F.when(trials > 0, F.sequence(F.lit(1).cast("long"), trials.cast("long"))).otherwise(F.array().cast("array<long>"))
+    return F.aggregate(steps, start, next_term, lambda state: state["k"])
+
+
+def binomial_draw(key: Column, draw: Column, trials: Column, rate: Column, hash_name: str = "xxhash64") -> Column:
+    """A binomial number that depends on the key and the draw only.
+
+    Trials are drawn ``TRIALS`` at a time, each part from a number of its own: a sum of binomials of one rate is binomial.
+    """
+    held = F.least(F.greatest(rate, F.lit(0.0)), F.lit(1 - 1e-12))
+    parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.floor((trials - 1) / TRIALS), F.lit(0)).cast("long"))
+
+    def part(i: Column) -> Column:
+        size = F.least(trials.cast("double") - i * TRIALS, F.lit(float(TRIALS)))
+        uniform = draw_uniform(F.concat_ws(".", key.cast("string"), i.cast("string")), draw, hash_name)
+        return binomial_quantile(uniform, size, held)
+
+    return F.aggregate(F.transform(parts, part), F.lit(0).cast("long"), lambda total, x: total + x)
+
+
+def poisson_quantile(uniform: Column, mean: Column, most: int = 200) -> Column:
+    """The smallest number whose cumulative Poisson probability exceeds ``uniform``; for means up to about 100."""
+
+    def next_term(state: Column, i: Column) -> Column:
+        term = state["term"] * mean / i
+        return F.struct(
+            term.alias("term"), (state["below"] + term).alias("below"), (state["k"] + F.when(state["below"] <= uniform, 1).otherwise(0)).cast("long").alias("k")
+        )
+
+    start = F.struct(F.exp(-mean).alias("term"), F.exp(-mean).alias("below"), F.lit(0).cast("long").alias("k"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, next_term, lambda state: state["k"])
+
+
+def simulated_trips(cells: DataFrame, key: Column, draws: int, n: str, rate: str, out: str, hash_name: str = "xxhash64") -> DataFrame:
+    """Cells by draw with a simulated number ``out`` of ``n`` trials at the fitted rate: the data of a parametric bootstrap."""
+    exploded = cells.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    return exploded.withColumn(out, binomial_draw(key, F.col("draw"), F.col(n), F.col(rate), hash_name))

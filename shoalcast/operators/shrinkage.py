@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoalcast.session import cut_lineage
+
 # Bounds of the intraclass correlation, away from 0 and 1.
 RHO_MIN = 1e-6
 RHO_MAX = 1 - 1e-6
@@ -185,3 +187,89 @@ def shrunk_shares(
     return grid.select(
         *cell, level, F.coalesce(F.col("__n"), F.lit(0)).alias(n), F.col("__size").alias("size"), share.alias("estimate")
     )
+
+
+def logit_cells(cells: DataFrame, group: str, split: str, levels: Sequence[str], n: str, k: str) -> DataFrame:
+    """Rates of each group in each of two classes as empirical logits ``y_1``, ``y_2`` with sampling variances ``s_1``, ``s_2``."""
+    sums = []
+    for i, level in enumerate(levels, start=1):
+        mine = F.col(split) == level
+        sums += [F.sum(F.when(mine, F.col(n))).cast("double").alias(f"n_{i}"), F.sum(F.when(mine, F.col(k))).cast("double").alias(f"k_{i}")]
+    wide = cells.groupBy(group).agg(*sums)
+    out = [group]
+    for i in range(1, len(levels) + 1):
+        hits, misses = F.col(f"k_{i}") + 0.5, F.col(f"n_{i}") - F.col(f"k_{i}") + 0.5
+        out += [F.ln(hits / misses).alias(f"y_{i}"), (1 / hits + 1 / misses).alias(f"s_{i}")]
+    return wide.select(*out)
+
+
+def shrunk_pairs(logits: DataFrame, group: str, least: float = 1e-6, most_correlation: float = 0.99) -> DataFrame:
+    """Correlated effects of a group in two classes (E3): ``effect_1``, ``effect_2`` and the covariance they were shrunk by.
+
+    Effects are bivariate normal around the class means.  Their variances are the variances of the logits less the mean sampling
+    variance, and their covariance is that of the logits, as sampling errors of the classes are independent.  A group
+    seen in one class borrows from the correlation in the other.
+    """
+    moments = logits.agg(
+        *[F.avg(f"y_{i}").alias(f"m_{i}") for i in (1, 2)],
+        *[F.greatest(F.var_samp(f"y_{i}") - F.avg(f"s_{i}"), F.lit(least)).alias(f"t_{i}") for i in (1, 2)],
+        F.covar_samp("y_1", "y_2").alias("raw"),
+    )
+    limit = F.lit(most_correlation) * F.sqrt(F.col("t_1") * F.col("t_2"))
+    held = moments.withColumn("c", F.coalesce(F.greatest(F.least("raw", limit), -limit), F.lit(0.0)))
+    one_row = held.select(F.struct("m_1", "m_2", "t_1", "t_2", "c").alias("h")).scalar()
+    rows = logits.withColumn("h", one_row).select("*", "h.*").drop("h")
+    c, t1, t2 = F.col("c"), F.col("t_1"), F.col("t_2")
+    a, b = t1 + F.col("s_1"), t2 + F.col("s_2")
+    d1, d2 = F.col("y_1") - F.col("m_1"), F.col("y_2") - F.col("m_2")
+    size = a * b - c * c
+    u1, u2 = (b * d1 - c * d2) / size, (a * d2 - c * d1) / size
+    alone_1, alone_2 = d2.isNull() & d1.isNotNull(), d1.isNull() & d2.isNotNull()
+    effect_1 = F.when(alone_1, t1 * d1 / a).when(alone_2, c * d2 / b).otherwise(F.coalesce(t1 * u1 + c * u2, F.lit(0.0)))
+    effect_2 = F.when(alone_1, c * d1 / a).when(alone_2, t2 * d2 / b).otherwise(F.coalesce(c * u1 + t2 * u2, F.lit(0.0)))
+    return rows.select(
+        group, effect_1.alias("effect_1"), effect_2.alias("effect_2"), t1.alias("var_1"), t2.alias("var_2"), c.alias("covariance"), (c / F.sqrt(t1 * t2)).alias("correlation")
+    )
+
+
+def concentration(cells: DataFrame) -> Column:
+    """Kappa of a level by moments, from cells (x, n, prior, g): the Pearson statistic of a Dirichlet-multinomial cell
+    is on average (g - 1)(1 + (n - 1) rho), and rho is 1 / (1 + kappa)."""
+    per_cell = cells.groupBy("cell").agg(
+        F.sum(F.pow(F.col("x") - F.col("n") * F.col("prior"), 2) / (F.col("n") * F.col("prior"))).alias("chi"), F.max("n").alias("n"), F.max("g").alias("g")
+    )
+    rho = F.try_divide(F.sum(F.col("chi") - (F.col("g") - 1)), F.sum((F.col("g") - 1) * (F.col("n") - 1)))
+    held = F.coalesce(F.least(F.greatest(rho, F.lit(RHO_MIN)), F.lit(RHO_MAX)), F.lit(RHO_MIN))
+    return per_cell.agg(((1 - held) / held).alias("kappa")).scalar()
+
+
+def hierarchical_shares(counts: DataFrame, levels: Sequence[str], category: str, n: str) -> DataFrame:
+    """Shares of categories with one random effect a level (E7): the cells of each level are Dirichlet around their parent.
+
+    ``levels`` are columns from the coarsest on; a cell of the k-th level is keyed by the first k.  Each level has a
+    concentration of its own, found from the data.  Returns the last level's cells: keys, category, n, size, estimate and
+    ``kappa`` of that level.
+    """
+    keys: list[str] = []
+    shares = counts.groupBy(category).agg(F.sum(n).cast("double").alias("x"))
+    total = counts.agg(F.sum(n).cast("double").alias("t")).scalar()
+    parent = shares.select(category, (F.col("x") / total).alias("estimate")).where("estimate > 0")
+    for level in levels:
+        above, keys = list(keys), [*keys, level]
+        observed = counts.groupBy(*keys, category).agg(F.sum(n).cast("double").alias("x"))
+        sizes = observed.groupBy(*keys).agg(F.sum("x").alias("n")).where("n > 0")
+        known = parent.select(*above, category, F.col("estimate").alias("prior"))
+        # A cell of the first level has the same parent, a handful of categories.
+        packed = known.groupBy(*above).agg(F.collect_list(F.struct(category, "prior")).alias("p"), F.count(F.lit(1)).alias("g"))
+        if above:
+            grid = sizes.join(packed, above)
+        else:
+            whole = packed.select(F.struct("p", "g").alias("w")).scalar()
+            grid = sizes.withColumn("w", whole).select("*", "w.*").drop("w")
+        grid = grid.select(*keys, "n", "g", F.explode("p").alias("p")).select(*keys, "n", "g", "p.*")
+        cells = grid.join(observed, [*keys, category], "left").withColumn("x", F.coalesce("x", F.lit(0.0)))
+        kappa = concentration(cells.withColumn("cell", F.struct(*keys)))
+        cells = cells.withColumn("kappa", kappa)
+        parent = cells.select(*keys, category, "x", "n", ((F.col("x") + F.col("kappa") * F.col("prior")) / (F.col("n") + F.col("kappa"))).alias("estimate"), "kappa")
+        parent = cut_lineage(parent)
+    return parent.select(*keys, category, F.col("x").cast("long").alias(n), F.col("n").cast("long").alias("size"), "estimate", "kappa")

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from shoalcast.functions.dates import local_date
 from shoalcast.operators.aggregates import summarise_trips
 from shoalcast.operators.windows import first_per_key
-from shoalcast.sources.points import empty_days, read_point_files
+from shoalcast.sources.points import scan_point_files
 from shoalcast.sources.readers import read_points_trips_csv
 
 
 def points_to_trips(spark, directory: str, pattern: str = "*") -> DataFrame:
     """Folder of daily point files to trips, with a placeholder row for days without points."""
-    points, empty = read_point_files(spark, directory, pattern)
-    trips = summarise_trips(points)
-    return trips.unionByName(empty_days(spark, empty), allowMissingColumns=True)
+    points, empty = scan_point_files(spark, directory, pattern)
+    return summarise_trips(points).unionByName(empty.select("day"), allowMissingColumns=True)
 
 
 def latest_trip_per_day(trips: DataFrame) -> DataFrame:

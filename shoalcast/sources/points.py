@@ -1,20 +1,22 @@
-"""Daily point files."""
+"""Daily point files.
 
-from __future__ import annotations
+A folder is one text scan: lines know their file, header lines are told by the names in them and joined to the
+other lines of their file, which then hand over their fields by name.  The number of Spark jobs does not grow with the
+files.  Files without a point are an anti join of the folder's listing, itself a distributed scan.
+"""
 
-import re
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoalcast.functions.dates import parse_timestamp
-from shoalcast.functions.names import clean_names
 from shoalcast.functions.text import to_number
 from shoalcast.schemas import POINT_COLUMNS
 
 DAY_PATTERN = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+# Fields of a line that are looked at.
+MOST_FIELDS = 64
 
 
 def day_of_path(path: Column) -> Column:
@@ -22,54 +24,48 @@ def day_of_path(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, DAY_PATTERN, 0), F.lit("")).try_cast("date")
 
 
-def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> list[str]:
-    """Files of a folder on any file system Spark can reach; empty ones included."""
-    jvm = spark.sparkContext._jvm
-    glob = jvm.org.apache.hadoop.fs.Path(directory.rstrip("/") + "/" + pattern)
-    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
-    return sorted(str(s.getPath().toString()) for s in found or [] if s.isFile())
+def clean_name(field: Column) -> Column:
+    """A header field as a snake-case name."""
+    return F.trim(F.regexp_replace(F.lower(F.trim(field)), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
-def _sniff(spark: SparkSession, path: str) -> tuple[str, tuple[str, ...], bool]:
-    """Header of one file and whether it has a row; reads its first lines only."""
-    head = spark.read.options(header=True).csv(path)
-    return path, tuple(clean_names(head.columns)), len(head.columns) > 0 and head.head() is not None
+def listed_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
+    """(path) of the files of a folder and its folders, empty ones included; no content is read."""
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": True}
+    return spark.read.format("binaryFile").options(**options).load(directory).select("path")
 
 
-def read_point_files(spark: SparkSession, directory: str, pattern: str = "*") -> tuple[DataFrame, list[str]]:
-    """All points of a folder, and the files that hold none.
+def scan_point_files(spark: SparkSession, directory: str, pattern: str = "*") -> tuple[DataFrame, DataFrame]:
+    """All points of a folder, and (day) of each file that holds none.  Columns a file lacks are NULL.
 
-    There is one file per day, so listing and header checks are driver-sized; the rows are
-    read in one scan per distinct header.  Columns a file lacks are NULL.
+    A header is a line that names a time and a trip; a file without one, or with nothing below it, holds no points.
     """
-    with ThreadPoolExecutor(16) as pool:
-        sniffed = list(pool.map(lambda p: _sniff(spark, p), list_files(spark, directory, pattern)))
-    empty = [p for p, names, has_row in sniffed if not has_row or len(names) == 1]
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path, names, _ in (s for s in sniffed if s[0] not in set(empty)):
-        by_header.setdefault(names, []).append(path)
-    scans = [_scan(spark, paths, names) for names, paths in sorted(by_header.items())]
-    if not scans:
-        scans = [spark.createDataFrame([], ", ".join(f"{c} string" for c in [*POINT_COLUMNS, "path"]))]
-    points = reduce(lambda x, y: x.unionByName(y), scans)
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": True}
+    fields = ", ".join(f"c{i} string" for i in range(MOST_FIELDS))
+    lines = spark.read.options(**options).text(directory).where(F.length("value") > 0)
+    parsed = lines.select(F.col("_metadata.file_path").alias("path"), F.from_csv("value", fields).alias("c"))
+    parts = parsed.select("path", F.array(*[f"c.c{i}" for i in range(MOST_FIELDS)]).alias("fields"))
+    named = parts.withColumn("names", F.transform("fields", clean_name))
+    is_header = F.array_contains("names", "time") & F.array_contains("names", "trip")
+    headers = named.where(is_header).groupBy("path").agg(F.min("names").alias("names"))
+    rows = named.where(~F.coalesce(is_header, F.lit(False))).drop("names").join(headers, "path")
+    value = lambda name: F.get("fields", (F.array_position("names", name) - 1).cast("int"))
+    points = rows.select("path", *[F.when(F.array_contains("names", c), value(c)).alias(c) for c in POINT_COLUMNS])
     typed = points.withColumns(
         {
             "time": parse_timestamp(F.col("time")),
             "range_meters": to_number(F.col("range_meters")),
             "day": day_of_path(F.col("path")),
         }
-    ).drop("path")
-    return typed, empty
+    )
+    # The listing and the text scan may spell a local path with one slash or three.
+    plain = F.regexp_replace("path", "^file:/+", "file:/")
+    full = points.select(plain.alias("path")).distinct()
+    empty = listed_files(spark, directory, pattern).select(plain.alias("path")).join(full, "path", "left_anti")
+    return typed.drop("path"), empty.select("path", day_of_path(F.col("path")).alias("day"))
 
 
-def _scan(spark: SparkSession, paths: list[str], names: tuple[str, ...]) -> DataFrame:
-    schema = ", ".join(f"`{n}` string" for n in names)
-    df = spark.read.schema(schema).options(header=True).csv(paths)
-    columns = [F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in POINT_COLUMNS]
-    return df.select(*columns, F.col("_metadata.file_path").alias("path"))
-
-
-def empty_days(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """A placeholder trip per file without points: only its day is known."""
-    days = [(m.group(0) if (m := re.search(DAY_PATTERN, p)) else None,) for p in paths]
-    return spark.createDataFrame(days, "day string").withColumn("day", F.col("day").try_cast("date"))
+def read_point_files(spark: SparkSession, directory: str, pattern: str = "*") -> tuple[DataFrame, list[str]]:
+    """All points of a folder, and the paths of the files that hold none."""
+    points, empty = scan_point_files(spark, directory, pattern)
+    return points, [r["path"] for r in empty.collect()]
