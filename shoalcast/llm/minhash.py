@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shoalcast.llm.common import LOWER, SPACE_PARTED, U64, Words, chunks, mix, shingles, u64, utf8
@@ -36,6 +36,8 @@ ROWS = 5
 # Pairs of one step at most; more are taken in several steps.
 PAIRS_AT_ONCE = 200_000_000
 ROWS_PER_TASK = 200_000
+# Words of 64 bits of the table that tells which texts to read again.
+SLOTS = 1 << 20
 
 
 def darts(elements: np.ndarray, weights: np.ndarray, text: np.ndarray, until: np.ndarray, k: int, out: np.ndarray) -> None:
@@ -218,7 +220,7 @@ def classes_of(
     A vertex is a distinct shingle set.  Each vertex is first compared with the smallest centre of its buckets, then
     with the centres whose label differs.  In buckets that are not connected by then the bound of common shingles
     rules vertices out, the rest meets the vertex with the least shingles of its own, and what is then not
-    connected is compared pair by pair, as far as the bound allows a link.
+    connected is compared where two vertices share one of their rarest shingles, as near duplicates must.
     """
     texts = docs.select("doc_id", "text")
     signed = texts.mapInArrow(sign(size, bands, rows), "doc_id long, d1 long, d2 long, n_shingles int, bands array<long>")
@@ -270,15 +272,14 @@ def classes_of(
         links = labels.select(F.col("vertex").alias("a"), F.col("label").alias("b"))
         left = cut_lineage(unconnected(with_labels(bounded, labels)))
         drop_written(bounded)
-        least = left.groupBy("band").agg(F.min("label").alias("least"))
-        marked = left.join(least, "band").withColumn("linked", F.col("label") == F.col("least")).drop("least")
-        sizes = marked.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("loose"))
-        at_most = sizes.agg(F.sum(F.col("n") * F.col("loose"))).first()[0] or 0
+        prefixes = cut_lineage(rare_shingles(left, sets, similarity))
+        at_most = prefixes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1))).first()[0] or 0
         slices = int(at_most) // PAIRS_AT_ONCE + 1
         for part in range(slices if at_most else 0):
-            more, n_more = verified(loose_pairs(marked, part, slices, similarity).distinct(), sets, similarity)
+            more, n_more = verified(rare_pairs(prefixes, part, slices, similarity).distinct(), sets, similarity)
             done.append(more)
             links, n_labels = links.union(more), n_labels + n_more
+        drop_written(prefixes)
         drop_written(left)
         if at_most:
             labels, _ = components(links, n_labels)
@@ -320,19 +321,45 @@ def may_link(common_a: str, n_a: str, common_b: str, n_b: str, similarity: float
     return share * (1 + similarity) >= F.lit(similarity) * (F.col(n_a) + F.col(n_b))
 
 
-def loose_pairs(left: DataFrame, part: int, slices: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of a bucket that are not connected yet and that the bound allows.
+def rare_shingles(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(vertex, shingle, at, n, label): the rarest shingles of each vertex, enough that two near duplicates share one.
 
-    ``linked`` marks the members of one of the labels of the bucket, so that each pair comes once in a bucket.
+    In any order of all shingles, sets of a similarity t share one among their first n - ceil(t n) + 1; ordered by
+    how many vertices have them, these are the rare ones.  Shingles of one vertex alone count but need no row.
     """
-    mine = [F.col(c).alias(f"a_{c}") for c in ("vertex", "n_shingles", "label", "common")]
-    other = [F.col(c).alias(f"b_{c}") for c in ("vertex", "n_shingles", "label", "common")]
-    one = left.where(~F.col("linked") & (F.pmod(F.xxhash64("vertex"), F.lit(slices)) == part)).select("band", *mine)
-    two = left.select(F.col("band").alias("band2"), "linked", *other)
-    once = F.col("linked") | (F.col("a_vertex") < F.col("b_vertex"))
-    bound = may_link("a_common", "a_n_shingles", "b_common", "b_n_shingles", similarity)
-    pairs = one.join(two, (F.col("band") == F.col("band2")) & (F.col("a_label") != F.col("b_label")) & once & bound)
-    return pairs.select(F.least("a_vertex", "b_vertex").alias("a"), F.greatest("a_vertex", "b_vertex").alias("b"))
+    mine = left.select("vertex", "label").distinct().join(sets, "vertex")
+    shingle = mine.select("vertex", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    shared = shingle.groupBy("shingle").agg(F.count(F.lit(1)).alias("n_with")).where("n_with > 1")
+    every = Window.partitionBy("vertex")
+    rows = shingle.join(shared, "shingle").withColumns({"rank": F.row_number().over(every.orderBy("n_with", "shingle")), "common": F.count(F.lit(1)).over(every)})
+    at = F.col("n") - F.col("common") + F.col("rank")
+    return rows.select("vertex", "shingle", at.alias("at"), "n", "label").where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1)
+
+
+def rare_pairs(prefixes: DataFrame, part: int, slices: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) not connected yet that share a rare shingle early enough.
+
+    Two sets share at most one more than what follows their first common shingle in the shorter rest; a shingle for which
+    this is too little is not the first common one of near duplicates.
+    """
+    one = prefixes.where(F.pmod(F.xxhash64("vertex"), F.lit(slices)) == part)
+    one = one.select("shingle", F.col("vertex").alias("a"), F.col("at").alias("i"), F.col("n").alias("na"), F.col("label").alias("la"))
+    two = prefixes.select(F.col("shingle").alias("shingle2"), F.col("vertex").alias("b"), F.col("at").alias("j"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    most = 1 + F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))
+    enough = most * (1 + similarity) >= similarity * (F.col("na") + F.col("nb")) - 1e-9
+    return one.join(two, (F.col("shingle") == F.col("shingle2")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & enough).select("a", "b")
+
+
+def likely(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The ``rows`` whose key may be among ``ids``, so that few others are shuffled to the exact join.
+
+    The keys set bits in at most ``SLOTS`` words of 64, whatever their number: that table is broadcast.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    place = F.pmod(F.shiftrightunsigned(F.xxhash64(key), 40), F.lit(64)).cast("int")
+    words = ids.groupBy(slot.alias("slot")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(shiftrightunsigned(xxhash64({key}), 40), 64) as int))")).alias("word"))
+    kept = rows.withColumns({"slot": slot, "place": place}).join(F.broadcast(words), "slot").where(F.bit_get("word", F.col("place")) == 1)
+    return kept.select(*rows.columns)
 
 
 def shingles_of(docs: DataFrame, vertices: DataFrame, buckets: DataFrame, n: int, size: int) -> DataFrame:
@@ -342,7 +369,7 @@ def shingles_of(docs: DataFrame, vertices: DataFrame, buckets: DataFrame, n: int
     named = cut_lineage(wanted.join(vertices.select("vertex", "d1", "d2", "first_id"), "vertex"))
     texts = docs.select("doc_id", "text")
     ids = named.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct().coalesce(k)
-    read = texts.join(ids, "doc_id", "left_semi").union(texts.where("doc_id is null"))
+    read = likely(texts, ids, "doc_id").join(ids, "doc_id", "left_semi").union(texts.where("doc_id is null"))
     sets = read.mapInArrow(shingle_rows(size), "d1 long, d2 long, shingles array<int>")
     out = cut_lineage(sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles")))
     drop_written(named)
