@@ -908,17 +908,17 @@ def solved(name: str, system: str, linked: str, keys: str, iterations: int, by:
     return out
 
 
-def fitted(rounds: int, iterations: int) -> dict[str, str]:
-    """The activity model of the panel: tables effects_N, shares_N, precisions_N, and the cells."""
-    factors = list(ACTIVITY_LEVELS)
-    named = ", ".join(f"{expr} AS l_{f}" for f, expr in ACTIVITY_LEVELS.items())
+def fitted(rounds: int, iterations: int, levels: dict[str, str], source: str, zeros: float) -> dict[str, str]:
+    """The activity model: tables effects_N, shares_N, precisions_N, and the cells."""
+    factors = list(levels)
+    named = ", ".join(f"{expr} AS l_{f}" for f, expr in levels.items())
     out = {
-        "weekly": WEEKLY,
+        "weekly": source,
         "cells": f"SELECT *, {named} FROM (SELECT *, 1.0::DOUBLE AS rows FROM weekly)",
         "pooled": "SELECT boat_code, sum(k) / sum(n) AS m, avg(CASE WHEN k = 0 THEN 1.0::DOUBLE ELSE 0 END) AS zeros FROM cells GROUP BY 1",
         "effects_0": f"""SELECT boat_code, factor, level, CASE WHEN factor = 'intercept' THEN ln(m / (1 - m)) ELSE 0 END AS value,
             1.0::DOUBLE AS variance, 0.0::DOUBLE AS weight FROM ({by_level("cells", factors, "count(*) AS n_rows")}) JOIN pooled USING (boat_code)""",
-        "shares_0": "SELECT boat_code, zeros * 0.5::DOUBLE AS share FROM pooled",
+        "shares_0": f"SELECT boat_code, zeros * {zeros}::DOUBLE AS share FROM pooled",
     }
     for i in range(rounds):
         out[f"precisions_{i}"] = precisions(f"effects_{i}")
@@ -940,18 +940,18 @@ def stored(select: str, *ctes: str, **extra: str) -> str:
     return sql(select, *ctes, **{f"{n} ": body for n, body in extra.items()}).replace("  AS (", " AS MATERIALIZED (")
 
 
-def predicted(source: str, effects: str, factors, keys: str = "") -> str:
-    return f"SELECT *, (1 - share) / (1 + exp(-eta)) AS estimate FROM ({with_eta(source, effects, factors, keys)}) JOIN shares_3 USING (boat_code)"
+def predicted(source: str, effects: str, factors, keys: str = "", shares: str = "shares_3") -> str:
+    return f"SELECT *, (1 - share) / (1 + exp(-eta)) AS estimate FROM ({with_eta(source, effects, factors, keys)}) JOIN {shares} USING (boat_code)"
 
 
 ROUNDS = 3
-PLACES = ["intercept", "place", "period", "place_period"]
-MODEL = fitted(ROUNDS, 3)
+CELL_FACTORS = ["intercept", "place", "period", "place_period"]
+MODEL = fitted(ROUNDS, 3, ACTIVITY_LEVELS, WEEKLY, 0.5)
 ORACLES["q_glm_activity"] = stored(
     "SELECT DISTINCT boat_code, municipality_name, period_static, period_seasonal, round(estimate, 5) AS estimate FROM predicted",
     "panel",
     **MODEL,
-    predicted=predicted("cells", "effects_3", [*PLACES, "season"]),
+    predicted=predicted("cells", "effects_3", [*CELL_FACTORS, "season"]),
 )
 ORACLES["q_activity_variances"] = stored(
     """SELECT boat_code, factor, count(*) AS n_levels, round(sum(weight), 4) AS weight,
@@ -960,31 +960,43 @@ ORACLES["q_activity_variances"] = stored(
     "panel",
     **MODEL,
 )
+
+
+def drawn_effects(rounds: int, iterations: int, levels: dict[str, str]) -> dict[str, str]:
+    """Effects by draw, ``draw_effects``, of the model after so many rounds."""
+    factors = list(levels)
+    return {
+        "last_rows": scored("cells", f"effects_{rounds}", f"shares_{rounds}", factors),
+        "by_unit": " UNION ALL ".join(
+            f"SELECT boat_code, individual_boat, '{f}' AS factor, l_{f} AS level, sum(r) AS r FROM last_rows GROUP BY ALL" for f in factors
+        ),
+        "units": "SELECT DISTINCT individual_boat AS unit FROM weekly",
+        "resampled": drawn("units", "unit"),
+        "scores": f"""SELECT boat_code, factor, level, draw, CASE WHEN factor = 'boat' THEN 0 ELSE coalesce(got, 0) - base END AS score FROM (
+            SELECT * FROM (SELECT boat_code, factor, level, sum(r) AS base FROM by_unit GROUP BY ALL)
+            CROSS JOIN (SELECT CAST(unnest(range(1, {DRAWS + 1})) AS INT) AS draw)) LEFT JOIN (
+            SELECT boat_code, factor, level, draw, sum(r * dw) AS got FROM by_unit JOIN resampled ON unit = individual_boat GROUP BY ALL)
+            USING (boat_code, factor, level, draw)""",
+        "draw_system": f"""SELECT boat_code, factor, level, draw, score, value, weight + precision AS size FROM scores
+            JOIN effects_{rounds} USING (boat_code, factor, level) JOIN precisions_{rounds} USING (boat_code, factor)""",
+        "draw_links": links("last_rows", factors),
+        **solved("draws", "draw_system", "draw_links", "boat_code, draw", iterations),
+        "draw_effects": """SELECT boat_code, factor, level, draw, value + x AS value FROM draw_system
+            JOIN draws_x USING (boat_code, factor, level, draw)""",
+    }
+
+
 DRAWN = {
-    "last_rows": scored("cells", "effects_3", "shares_3", list(ACTIVITY_LEVELS)),
-    "by_unit": " UNION ALL ".join(
-        f"SELECT boat_code, individual_boat, '{f}' AS factor, l_{f} AS level, sum(r) AS r FROM last_rows GROUP BY ALL" for f in ACTIVITY_LEVELS
-    ),
-    "units": "SELECT DISTINCT individual_boat AS unit FROM weekly",
-    "resampled": drawn("units", "unit"),
-    "scores": """SELECT boat_code, factor, level, draw, CASE WHEN factor = 'boat' THEN 0 ELSE coalesce(got, 0) - base END AS score FROM (
-        SELECT * FROM (SELECT boat_code, factor, level, sum(r) AS base FROM by_unit GROUP BY ALL)
-        CROSS JOIN (SELECT CAST(unnest(range(1, 101)) AS INT) AS draw)) LEFT JOIN (SELECT boat_code, factor, level, draw, sum(r * dw) AS got FROM by_unit JOIN resampled ON unit = individual_boat GROUP BY ALL)
-        USING (boat_code, factor, level, draw)""",
-    "draw_system": """SELECT boat_code, factor, level, draw, score, value, weight + precision AS size FROM scores
-        JOIN effects_3 USING (boat_code, factor, level) JOIN precisions_3 USING (boat_code, factor)""",
-    "draw_links": links("last_rows", list(ACTIVITY_LEVELS)),
-    **solved("draws", "draw_system", "draw_links", "boat_code, draw", 3),
-    "draw_effects": """SELECT boat_code, factor, level, draw, value + x AS value FROM draw_system JOIN draws_x USING (boat_code, factor, level, draw)""",
-    "grid": f"""SELECT DISTINCT boat_code, municipality_name, period_static, {', '.join(f'l_{f}' for f in PLACES)}, draw
-        FROM cells, (SELECT CAST(unnest(range(1, 101)) AS INT) AS draw)""",
+    **drawn_effects(ROUNDS, 3, ACTIVITY_LEVELS),
+    "grid": f"""SELECT DISTINCT boat_code, municipality_name, period_static, {', '.join(f'l_{f}' for f in CELL_FACTORS)}, draw
+        FROM cells, (SELECT CAST(unnest(range(1, {DRAWS + 1})) AS INT) AS draw)""",
 }
 ORACLES["q_predict_grid"] = stored(
     "SELECT boat_code, municipality_name, period_static, draw, round(estimate, 5) AS estimate FROM predicted",
     "panel",
     **MODEL,
     **DRAWN,
-    predicted=predicted("grid", "draw_effects", PLACES, "draw"),
+    predicted=predicted("grid", "draw_effects", CELL_FACTORS, "draw"),
 )
 
 
@@ -1120,3 +1132,21 @@ ORACLES["q_price_student"] = stored(
     "wide_trips",
     **student(2, 3),
 )
+
+ORDER_LEVELS = {k: v for k, v in ACTIVITY_LEVELS.items() if k != "place_period"}
+ORDERS = """SELECT period_static, individual_boat, boat_code, municipality_name, period_seasonal, n_days::DOUBLE AS n, n_trips AS k
+    FROM order_cells"""
+ORACLES["q_model_trips"] = stored(
+    f"""SELECT municipality_name, boat_code AS boat_type, period_static, n, n_days_month, draw, round(estimate, 4) AS rate,
+    round(n * estimate * n_days_month, 4) AS n_trips FROM predicted""",
+    "stations",
+    "muni",
+    "order_cells",
+    **fitted(2, 3, ORDER_LEVELS, ORDERS, 0.0),
+    **drawn_effects(2, 2, ORDER_LEVELS),
+    nums=GRID["nums"],
+    grid=GRID["grid"],
+    named_grid=f"""SELECT *, boat_type AS boat_code, '' AS l_intercept, municipality_name AS l_place, CAST(period_static AS VARCHAR) AS l_period,
+    CAST(month(period_static) AS VARCHAR) AS l_season FROM grid""",
+    predicted=predicted("named_grid", "draw_effects", ["intercept", "place", "period", "season"], "draw", "shares_2"),
+)

@@ -35,10 +35,6 @@ def matching(df: DataFrame, prefix: str = "", suffix: str = "") -> list[str]:
     return [c for c in df.columns if c.startswith(prefix) and c.endswith(suffix)]
 
 
-def drop_matching(df: DataFrame, prefix: str = "", suffix: str = "") -> DataFrame:
-    return df.drop(*matching(df, prefix, suffix))
-
-
 def mutate_strings(df: DataFrame, fn: Callable[[Column], Column]) -> DataFrame:
     """Apply ``fn`` to every text column (P5)."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]

@@ -60,11 +60,13 @@ def fix_values(col: Column, fixes: dict[str, str]) -> Column:
     return out
 
 
+# Fixed pattern: the numbers of a length range in a question's name.
+BIN_NUMBER = "(?<=_|r)[0-9]+"
+
+
 def numbers_after_marker(col: Column) -> Column:
     """All numbers that follow an underscore or an 'r'."""
-    return F.transform(
-        F.regexp_extract_all(col, F.lit(r"((?<=_|r)[0-9]+)"), F.lit(1)), lambda s: s.try_cast("double")
-    )
+    return F.transform(F.regexp_extract_all(col, F.lit(f"({BIN_NUMBER})"), F.lit(1)), lambda s: s.try_cast("double"))
 
 
 def bin_midpoint(col: Column) -> Column:
@@ -76,7 +78,7 @@ def bin_midpoint(col: Column) -> Column:
 
 def bin_midpoint_of_name(name: str) -> float | None:
     """The same for a column name, worked out once when the plan is built."""
-    numbers = [float(n) for n in re.findall(r"(?<=[_r])[0-9]+", name)]
+    numbers = [float(n) for n in re.findall(BIN_NUMBER, name)]
     return sum(numbers) / len(numbers) if numbers else None
 
 
@@ -96,10 +98,6 @@ def mesh_choice(size: Column, other: Column) -> Column:
     return F.when(size == "seluk", other).when(size != "seluk", size)
 
 
-def strip_prefix(col: Column, prefix: str) -> Column:
-    return F.regexp_replace(col, "^" + re.escape(prefix), "")
-
-
 def strip_suffix(col: Column, suffix: str) -> Column:
     return F.regexp_replace(col, re.escape(suffix) + "$", "")
 

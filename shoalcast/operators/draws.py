@@ -35,10 +35,9 @@ def draw_uniform(key: Column, draw: Column, hash_name: str = "xxhash64") -> Colu
 
 
 def poisson_weight(uniform: Column) -> Column:
-    out = F.when(uniform < POISSON_CUTS[0], F.lit(0.0))
-    for count, cut in enumerate(POISSON_CUTS[1:], start=1):
-        out = out.when(uniform < cut, F.lit(float(count)))
-    return out.otherwise(F.lit(float(len(POISSON_CUTS))))
+    """How many of the cumulative probabilities ``uniform`` has reached."""
+    reached = F.filter(F.array(*[F.lit(cut) for cut in POISSON_CUTS]), lambda cut: cut <= uniform)
+    return F.size(reached).cast("double")
 
 
 def with_draws(df: DataFrame, key: str, draws: int, hash_name: str = "xxhash64") -> DataFrame:
@@ -46,11 +45,13 @@ def with_draws(df: DataFrame, key: str, draws: int, hash_name: str = "xxhash64")
 
     Rows sharing ``key`` are resampled together.  Always follow with an aggregation by
     (cell, draw): it combines on the map side, so only cells x draws rows are shuffled.
-    Rows are multiplied where the scan left them; pass only needed columns.
+    Rows are multiplied where the scan left them; pass only needed columns.  The hash is
+    taken once a row and draw, as a field of what is exploded.
     """
-    exploded = df.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
-    weighted = exploded.withColumn("draw_weight", poisson_weight(draw_uniform(F.col(key), F.col("draw"), hash_name)))
-    return weighted.where(F.col("draw_weight") > 0)
+    number = F.sequence(F.lit(1), F.lit(draws))
+    each = F.transform(number, lambda draw: F.struct(draw.alias("draw"), draw_uniform(F.col(key), draw, hash_name).alias("u")))
+    exploded = df.select("*", F.explode(each).alias("__draw")).where(F.col("__draw.u") >= POISSON_CUTS[0])
+    return exploded.withColumns({"draw": F.col("__draw.draw"), "draw_weight": poisson_weight(F.col("__draw.u"))}).drop("__draw")
 
 
 # Trials of one inverse-CDF draw; more are drawn in several parts.

@@ -29,9 +29,12 @@ def _between_within(ss_between: Column, ss_within: Column) -> tuple[Column, Colu
     )
 
 
-def _one_fit(cells: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Without ``by`` all cells belong to one fit."""
-    return (cells, list(by)) if by else (cells.withColumn("__fit", F.lit(1)), ["__fit"])
+def _with_fit(cells: DataFrame, hyper: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Cells with the hyper-parameters of their fit; without ``by`` there is one fit, a scalar subquery."""
+    if by:
+        return cells.join(hyper, list(by), "left")
+    names = hyper.columns
+    return cells.withColumn("__fit", hyper.select(F.struct(*names)).scalar()).select("*", *[F.col(f"__fit.{n}").alias(n) for n in names]).drop("__fit")
 
 
 def cell_moments(df: DataFrame, keys: Sequence[str], y: str, weight: str | None = None) -> DataFrame:
@@ -123,15 +126,12 @@ def overall_mean(cells: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def shrunk_means(cells: DataFrame, by: Sequence[str]) -> DataFrame:
     """One-way random-effects estimate of every cell mean."""
-    cells, by = _one_fit(cells, by)
-    joined = cells.join(overall_mean(cells, by), by, "left")
+    joined = _with_fit(cells, overall_mean(cells, by), by)
     pull = F.try_divide(
         F.col("var_between"), F.col("var_between") + F.try_divide(F.col("var_within"), F.col("n"))
     )
     estimate = F.col("overall") + F.coalesce(pull, F.lit(0.0)) * (F.col("mean") - F.col("overall"))
-    return joined.withColumn("estimate", F.coalesce(estimate, F.col("overall"))).drop(
-        "var_within", "var_between", "__fit"
-    )
+    return joined.withColumn("estimate", F.coalesce(estimate, F.col("overall"))).drop("var_within", "var_between")
 
 
 def overall_rate(cells: DataFrame, by: Sequence[str], n: str = "n_days", k: str = "n_trips") -> DataFrame:
@@ -158,10 +158,9 @@ def overall_rate(cells: DataFrame, by: Sequence[str], n: str = "n_days", k: str
 
 def shrunk_rates(cells: DataFrame, by: Sequence[str], n: str = "n_days", k: str = "n_trips") -> DataFrame:
     """Beta-binomial estimate of every cell rate."""
-    cells, by = _one_fit(cells, by)
-    joined = cells.join(overall_rate(cells, by, n, k), by, "left")
+    joined = _with_fit(cells, overall_rate(cells, by, n, k), by)
     estimate = (F.col("overall") * F.col("prior_size") + F.col(k)) / (F.col("prior_size") + F.col(n))
-    return joined.withColumn("estimate", estimate).drop("prior_size", "__fit")
+    return joined.withColumn("estimate", estimate).drop("prior_size")
 
 
 def parent_shares(counts: DataFrame, parent: Sequence[str], level: str, n: str) -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoalcast.functions.dates import month_number, period_features
 from shoalcast.functions.flags import without_price_flag
 from shoalcast.functions.numeric import cube_root_units, tenth_units
 from shoalcast.operators.joins import lookup_join
-from shoalcast.operators.reshape import pivot_counts
 from shoalcast.schemas import GEARS
 
 CELL = ["municipality_name", "boat_type", "period_static", "period_seasonal"]
@@ -59,8 +58,7 @@ def gear_tally(
     """Trips per cell and gear with the cell's size (A10)."""
     placed = _placed(trips, stations, period_static_unit, period_seasonal_function)
     counts = placed.groupBy(*CELL, "trip_gear").agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy(*CELL).agg(F.sum("n").alias("size"))
-    return counts.join(sizes, CELL)
+    return counts.withColumn("size", F.sum("n").over(Window.partitionBy(*CELL)))
 
 
 def gear_features(
@@ -71,5 +69,6 @@ def gear_features(
     gears: Sequence[str] = GEARS,
 ) -> DataFrame:
     """One row per cell with a count column per gear and the size of the cell."""
-    tally = gear_tally(trips, stations, period_static_unit, period_seasonal_function)
-    return pivot_counts(tally, [*CELL, "size"], "trip_gear", "n", gears, prefix="tg.")
+    placed = _placed(trips, stations, period_static_unit, period_seasonal_function)
+    counts = [F.count_if(F.col("trip_gear") == g).alias(f"tg.{g}") for g in gears]
+    return placed.groupBy(*CELL).agg(F.count(F.lit(1)).alias("size"), *counts)

@@ -16,6 +16,7 @@ from shoalcast.functions.dates import days_in_month, month_number, month_sequenc
 from shoalcast.functions.numeric import from_cube_root
 from shoalcast.functions.text import map_codes, strip_suffix
 from shoalcast.operators.aggregates import interval_summary, totals_by_draw
+from shoalcast.operators.crossed import CrossedFit, predict_crossed
 from shoalcast.operators.draws import with_draws
 from shoalcast.operators.joins import tagged_union
 from shoalcast.operators.reshape import expand_array, unpivot_columns
@@ -72,6 +73,15 @@ def activity_draws(cells: DataFrame, draws: int, hash_name: str = "xxhash64") ->
     )
 
 
+def model_draws(fit: CrossedFit, drawn: DataFrame, grid: DataFrame, factors: Sequence[str]) -> Draws:
+    """Activity rates of the fitted model on a prediction grid, by draw of its effects."""
+    keys = ["municipality_name", "period_static", "boat_type"]
+    cells = grid.select(*keys, "period_seasonal").distinct().withColumnRenamed("boat_type", fit.by)
+    rates = predict_crossed(fit, cells, factors, draws=drawn).withColumnRenamed(fit.by, "boat_type")
+    pooled = predict_crossed(fit, cells.select(fit.by).distinct(), [], "overall", drawn).withColumnRenamed(fit.by, "boat_type")
+    return Draws(rates.select(*keys, "draw", "estimate"), pooled.select("boat_type", "draw", "overall"), keys, ["boat_type"])
+
+
 def mean_draws(
     features: DataFrame, response: str, keys: Sequence[str], draws: int, hash_name: str = "xxhash64"
 ) -> Draws:

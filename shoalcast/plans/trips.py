@@ -21,8 +21,8 @@ MAX_TRIP_VALUE = 20000
 MAX_DAYS_BEFORE_RECORD = 30
 
 
-CREW = ("men", "women", "children")
-PASSED_THROUGH = ["record_device_id", "record_id", "boat_type", "trip_gear", "trip_habitat", "trip_landing_site"]
+# Crew counts and their questions.
+CREW = {"men": "no_men", "women": "no_women", "children": "no_child"}
 
 
 def trip_catch(catch: DataFrame) -> DataFrame:
@@ -48,16 +48,16 @@ def imei_digits(number: Column) -> Column:
 
 def match_imei(survey: DataFrame, boats: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Replace the typed IMEI by the registered ones it is a suffix of."""
-    searched = survey.withColumn("__imei", to_number(F.col("boat_imei_r"))).withColumn(
+    searched = survey.withColumn("__imei", to_number(F.col("trip_group_imei"))).withColumn(
         "__digits", imei_digits(F.col("__imei"))
     )
     matched = suffix_join(
-        searched, boats, "__digits", "imei_long", spread=["record_id_r"], broadcast_rows=broadcast_rows
+        searched, boats, "__digits", "imei_long", spread=["uuid"], broadcast_rows=broadcast_rows
     )
-    missed = F.col("imei_long").isNull() & F.col("boat_imei_r").isNotNull()
+    missed = F.col("imei_long").isNull() & F.col("trip_group_imei").isNotNull()
     return matched.withColumns(
         {"boat_imei_flag": F.when(missed, "imei__not_found"), "trip_imei": F.col("imei_long")}
-    ).drop("imei_long", "__digits", "__imei", "boat_imei_r")
+    ).drop("imei_long", "__digits", "__imei", "trip_group_imei")
 
 
 def clean_trip_fields(raw: DataFrame) -> DataFrame:
@@ -68,16 +68,16 @@ def clean_trip_fields(raw: DataFrame) -> DataFrame:
     """
     parsed = raw.withColumns(
         {
-            "__hours": to_number(F.col("trip_duration_r")),
-            "__mesh": mesh_choice(F.col("gear_mesh_size_a_r"), F.col("gear_mesh_size_b_r")),
-            "__mesh_other": to_number(F.col("gear_mesh_size_b_r")),
-            "__value": to_number(F.col("trip_value_r")),
-            **{f"fisher_number_{who}": to_number(F.col(f"fisher_number_{who}_r")) for who in CREW},
-            "boat_registration": boat_registration(F.col("boat_registration_r")),
-            "trip_platform": platform_label(F.col("trip_platform_r")),
-            "trip_date": parse_date(F.col("trip_date_r")),
-            "recording_datetime": parse_timestamp(F.col("record_date_r")),
-            "trip_happiness": to_number(F.col("trip_happiness_r")),
+            "__hours": to_number(F.col("trip_group_duration")),
+            "__mesh": mesh_choice(F.col("trip_group_mesh_size"), F.col("trip_group_mesh_size_other")),
+            "__mesh_other": to_number(F.col("trip_group_mesh_size_other")),
+            "__value": to_number(F.col("total_catch_value")),
+            **{f"fisher_number_{who}": to_number(F.col(f"trip_group_no_fishers_{asked}_fishers")) for who, asked in CREW.items()},
+            "boat_registration": boat_registration(F.col("trip_group_boat_reg_no")),
+            "trip_platform": platform_label(F.col("trip_group_has_boat")),
+            "trip_date": parse_date(F.col("date")),
+            "recording_datetime": parse_timestamp(F.col("end")),
+            "trip_happiness": to_number(F.col("happiness_rating")),
         }
     )
     crew = [F.col(f"fisher_number_{who}") for who in CREW]
@@ -89,26 +89,35 @@ def clean_trip_fields(raw: DataFrame) -> DataFrame:
             "__recorded": local_date(F.col("recording_datetime")),
         }
     )
-    unread = lambda field: F.col(field).isNull() & F.col(f"{field}_r").isNotNull()
+    unread = lambda field, raw: F.col(field).isNull() & F.col(raw).isNotNull()
     flagged = typed.withColumns(
         {
             "fisher_number_total": sanitize_numeric(F.col("__crew"), zero_is_null=True),
-            "boat_registration_flag": F.when(unread("boat_registration"), "boat_registration__invalid"),
+            "boat_registration_flag": F.when(unread("boat_registration", "trip_group_boat_reg_no"), "boat_registration__invalid"),
             "trip_duration_flag": F.when(F.col("__hours") == 0, "trip_duration__zero_hours").when(
-                unread("trip_duration"), "trip_duration__too_long"
+                unread("trip_duration", "trip_group_duration"), "trip_duration__too_long"
             ),
             "trip_date_flag": F.when(F.col("trip_date") > F.col("__recorded"), "trip_date__trip_is_in_future").when(
                 F.col("trip_date") < F.date_sub("__recorded", MAX_DAYS_BEFORE_RECORD), "trip_date__trip_date_too_old"
             ),
             "gear_mesh_size_flag": F.when(
-                F.col("__mesh_other").isNull() & F.col("gear_mesh_size_b_r").isNotNull(), "gear_mesh_size__invalid"
+                F.col("__mesh_other").isNull() & F.col("trip_group_mesh_size_other").isNotNull(), "gear_mesh_size__invalid"
             ),
             "fisher_number_flag": F.when(
                 (F.col("__crew") == 0) & F.col("trip_platform").isNotNull(), "fisher_number__zero_fishers"
             ),
         }
     )
-    return flagged.withColumnsRenamed({f"{c}_r": c for c in PASSED_THROUGH})
+    return flagged.withColumnsRenamed(
+        {
+            "uuid": "record_id",
+            "deviceid": "record_device_id",
+            "landing_site_name": "trip_landing_site",
+            "trip_group_boat_type": "boat_type",
+            "trip_group_gear_type": "trip_gear",
+            "trip_group_habitat_boat": "trip_habitat",
+        }
+    )
 
 
 def value_rules(trips: DataFrame, catch_flag_mode: str = "reference") -> DataFrame:
@@ -194,8 +203,7 @@ def clean_trips(
 
     An IMEI that is the ending of several registered devices gives one row for each.
     """
-    raw = survey.select(*[F.col(c).alias(r) for c, r in SURVEY_TRIP_COLUMNS.items()])
-    fields = clean_trip_fields(match_imei(raw, boats, broadcast_rows))
+    fields = clean_trip_fields(match_imei(survey.select(*SURVEY_TRIP_COLUMNS), boats, broadcast_rows))
     with_catch = fields.join(trip_catch(catch), "record_id", "left")
     flagged = value_rules(with_catch, catch_flag_mode)
     return flagged.withColumn("flags", join_flags(*[F.col(c) for c in FLAG_ORDER])).select(*TRIP_COLUMNS)

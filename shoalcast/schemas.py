@@ -16,28 +16,28 @@ TRIPS_FROM_POINTS = text_schema(
     "trip", "start", "end", "range", "boat_id", "boat_name", "community", "imei", "day"
 )
 
-# Columns of the landing survey used by the trip cleaning, raw name -> working name.
-SURVEY_TRIP_COLUMNS = {
-    "trip_group_imei": "boat_imei_r",
-    "trip_group_boat_reg_no": "boat_registration_r",
-    "trip_group_boat_type": "boat_type_r",
-    "trip_group_duration": "trip_duration_r",
-    "trip_group_gear_type": "trip_gear_r",
-    "trip_group_habitat_boat": "trip_habitat_r",
-    "trip_group_has_boat": "trip_platform_r",
-    "date": "trip_date_r",
-    "landing_site_name": "trip_landing_site_r",
-    "total_catch_value": "trip_value_r",
-    "trip_group_mesh_size": "gear_mesh_size_a_r",
-    "trip_group_mesh_size_other": "gear_mesh_size_b_r",
-    "trip_group_no_fishers_no_men_fishers": "fisher_number_men_r",
-    "trip_group_no_fishers_no_women_fishers": "fisher_number_women_r",
-    "trip_group_no_fishers_no_child_fishers": "fisher_number_children_r",
-    "deviceid": "record_device_id_r",
-    "end": "record_date_r",
-    "happiness_rating": "trip_happiness_r",
-    "uuid": "record_id_r",
-}
+# Fixed names: the survey questions that the trip cleaning reads.
+SURVEY_TRIP_COLUMNS = [
+    "date",
+    "deviceid",
+    "end",
+    "happiness_rating",
+    "landing_site_name",
+    "total_catch_value",
+    "trip_group_boat_reg_no",
+    "trip_group_boat_type",
+    "trip_group_duration",
+    "trip_group_gear_type",
+    "trip_group_habitat_boat",
+    "trip_group_has_boat",
+    "trip_group_imei",
+    "trip_group_mesh_size",
+    "trip_group_mesh_size_other",
+    "trip_group_no_fishers_no_child_fishers",
+    "trip_group_no_fishers_no_men_fishers",
+    "trip_group_no_fishers_no_women_fishers",
+    "uuid",
+]
 
 # The nine gears of the gear model.
 GEARS = ["GN", "CN", "HL", "LL", "SG", "BS", "MC", "SN", "TP"]
