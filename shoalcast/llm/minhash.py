@@ -369,7 +369,8 @@ def shingles_of(docs: DataFrame, vertices: DataFrame, buckets: DataFrame, n: int
     named = cut_lineage(wanted.join(vertices.select("vertex", "d1", "d2", "first_id"), "vertex"))
     texts = docs.select("doc_id", "text")
     ids = named.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct().coalesce(k)
-    read = likely(texts, ids, "doc_id").join(ids, "doc_id", "left_semi").union(texts.where("doc_id is null"))
+    # An inner join with distinct ids: a semi join would be pushed below the bit table, to all texts.
+    read = likely(texts, ids, "doc_id").join(ids, "doc_id").union(texts.where("doc_id is null"))
     sets = read.mapInArrow(shingle_rows(size), "d1 long, d2 long, shingles array<int>")
     out = cut_lineage(sets.join(named.select("vertex", "d1", "d2"), ["d1", "d2"]).groupBy("vertex").agg(F.any_value("shingles").alias("shingles")))
     drop_written(named)
@@ -378,5 +379,8 @@ def shingles_of(docs: DataFrame, vertices: DataFrame, buckets: DataFrame, n: int
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, int]:
     """The pairs that are near duplicates, written, and their number."""
+    # Written first: where they are few, that is known before any shingle set is shuffled.
+    pairs = cut_lineage(pairs)
     links, (m,) = written(similar(pairs, sets, similarity))
+    drop_written(pairs)
     return links, m
