@@ -82,12 +82,13 @@ def binomial_draw(key: Column, draw: Column, trials: Column, rate: Column, hash_
     held = F.least(F.greatest(rate, F.lit(0.0)), F.lit(1 - 1e-12))
     parts = F.sequence(F.lit(0).cast("long"), F.greatest(F.floor((trials - 1) / TRIALS), F.lit(0)).cast("long"))
 
-    def part(i: Column) -> Column:
-        size = F.least(trials.cast("double") - i * TRIALS, F.lit(float(TRIALS)))
+    def numbered(i: Column) -> Column:
         uniform = draw_uniform(F.concat_ws(".", key.cast("string"), i.cast("string")), draw, hash_name)
-        return binomial_quantile(uniform, size, held)
+        return F.struct(uniform.alias("u"), F.least(trials.cast("double") - i * TRIALS, F.lit(float(TRIALS))).alias("size"))
 
-    return F.aggregate(F.transform(parts, part), F.lit(0).cast("long"), lambda total, x: total + x)
+    # The hash is taken once a part, before the walk up its distribution.
+    uniforms = F.transform(parts, numbered)
+    return F.aggregate(uniforms, F.lit(0).cast("long"), lambda total, x: total + binomial_quantile(x["u"], x["size"], held))
 
 
 def poisson_quantile(uniform: Column, mean: Column, most: int = 200) -> Column:
