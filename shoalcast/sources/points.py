@@ -2,7 +2,7 @@
 
 A folder is one text scan: lines know their file, header lines are told by the names in them and joined to the
 other lines of their file, which then hand over their fields by name.  The number of Spark jobs does not grow with the
-files.  Files without a point are an anti join of the folder's listing, itself a distributed scan.
+files.  Files without a point are an anti join of the folder's listing, one short row a file and day.
 """
 
 from __future__ import annotations
@@ -29,10 +29,9 @@ def clean_name(field: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.trim(field)), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
-def listed_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
-    """(path) of the files of a folder and its folders, empty ones included; no content is read."""
-    options = {"pathGlobFilter": pattern, "recursiveFileLookup": True}
-    return spark.read.format("binaryFile").options(**options).load(directory).select("path")
+def listed_files(lines: DataFrame) -> DataFrame:
+    """(path) of the files of a scan, empty ones included: the listing Spark itself has made of them."""
+    return lines.sparkSession.createDataFrame([(path,) for path in lines.inputFiles()], "path string")
 
 
 def scan_point_files(spark: SparkSession, directory: str, pattern: str = "*") -> tuple[DataFrame, DataFrame]:
@@ -42,8 +41,8 @@ def scan_point_files(spark: SparkSession, directory: str, pattern: str = "*") ->
     """
     options = {"pathGlobFilter": pattern, "recursiveFileLookup": True}
     fields = ", ".join(f"c{i} string" for i in range(MOST_FIELDS))
-    lines = spark.read.options(**options).text(directory).where(F.length("value") > 0)
-    parsed = lines.select(F.col("_metadata.file_path").alias("path"), F.from_csv("value", fields).alias("c"))
+    lines = spark.read.options(**options).text(directory)
+    parsed = lines.where(F.length("value") > 0).select(F.col("_metadata.file_path").alias("path"), F.from_csv("value", fields).alias("c"))
     parts = parsed.select("path", F.array(*[f"c.c{i}" for i in range(MOST_FIELDS)]).alias("fields"))
     named = parts.withColumn("names", F.transform("fields", clean_name))
     is_header = F.array_contains("names", "time") & F.array_contains("names", "trip")
@@ -61,7 +60,7 @@ def scan_point_files(spark: SparkSession, directory: str, pattern: str = "*") ->
     # The listing and the text scan may spell a local path with one slash or three.
     plain = F.regexp_replace("path", "^file:/+", "file:/")
     full = points.select(plain.alias("path")).distinct()
-    empty = listed_files(spark, directory, pattern).select(plain.alias("path")).join(full, "path", "left_anti")
+    empty = listed_files(lines).select(plain.alias("path")).join(full, "path", "left_anti")
     return typed.drop("path"), empty.select("path", day_of_path(F.col("path")).alias("day"))
 
 
