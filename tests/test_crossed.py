@@ -59,12 +59,12 @@ def test_planted_variances_effects_and_zeros_come_back(planted):
 
 
 def test_rounds_settle_where_scores_equal_penalties(planted, spark):
-    """Under fixed variances the rounds converge: one more hardly moves any level."""
+    """Under fixed variances the rounds converge: one more moves no level by a tenth of its factor's spread."""
     _, frame, fit = planted
     again = crossed.fit_crossed(frame, "code", FACTORS, "n", "k", rounds=1, iterations=8, fixed=fit)
     for factor in ("place", "period", "boat"):
         before, after = values(fit, factor), values(again, factor)
-        assert max(abs(before[level] - after[level]) for level in before) < 0.03
+        assert max(abs(before[level] - after[level]) for level in before) < 0.1 * SD[factor]
 
 
 def test_prediction_by_some_factors(planted, spark):
