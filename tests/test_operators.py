@@ -230,3 +230,30 @@ def test_draws_queries_take_the_references_hundred_draws(spark):
 
     sf_dir = "/root/testdata/sf0.001"
     assert QUERIES["q_bootstrap_draws"](spark, sf_dir).agg(F.countDistinct("draw")).first()[0] == 100
+
+
+def test_costly_facts_of_a_large_lookup_are_made_once(spark, rows):
+    made = spark.sparkContext.accumulator(0)
+
+    def costly(v):
+        made.add(1)
+        return v
+
+    facts = spark.createDataFrame([(i, i % 7) for i in range(40)], "id int, k int").withColumn("v", F.udf(costly, "int").asNondeterministic()("id"))
+    lookup = spark.createDataFrame([(k, f"n{k}") for k in range(5)], "k int, name string")
+    out = joins.lookup_join(facts, lookup, "k", spread=["id"], broadcast_rows=1, write=True)
+    assert rows(out.select("id", "k", "name")) == rows(facts.drop("v").join(lookup, "k", "left").select("id", "k", "name"))
+    before = made.value
+    joins.lookup_join(facts, lookup, "k", spread=["id"], broadcast_rows=1, write=True).collect()
+    assert made.value - before == 40
+
+
+@pytest.mark.parametrize("name", ["md5", "xxhash64"])
+def test_weights_of_draws_equal_those_of_their_numbers(spark, name):
+    units = spark.range(300).select(F.col("id").cast("string").alias("unit"))
+    found = draws.with_draws(units, "unit", 50, name)
+    number = units.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(50)))).withColumn("u", draws.draw_uniform(F.col("unit"), F.col("draw"), name))
+    expected = {(r.unit, r.draw): float(sum(cut <= r.u for cut in draws.POISSON_CUTS)) for r in number.collect()}
+    assert {(r.unit, r.draw): r.draw_weight for r in found.collect()} == {k: w for k, w in expected.items() if w}
+    # Digits are compared as they are.
+    assert "conv(" not in found._jdf.queryExecution().optimizedPlan().toString()

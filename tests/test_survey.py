@@ -220,3 +220,18 @@ def test_merge_trips(spark, rows):
     )
     out = trips.merge_trips(survey_trips, tracked).select("record_id", "trip_imei", "trip_id_pds")
     assert rows(out) == [("a", "i1", "t1"), ("b", None, None), (None, "i2", "t2")]
+
+
+def test_devices_are_matched_alone_where_every_record_has_an_id(spark, rows):
+    boats = spark.createDataFrame([("350000000012345",), ("350000000912345",), ("350000000077777",)], "imei_long string")
+    typed = [("a", "-12345"), ("a", "-12345"), ("a", "77777"), ("b", "12345"), ("c", "99999"), ("d", None), ("e", "12")]
+    survey = spark.createDataFrame(typed, "uuid string, trip_group_imei string").withColumn("other", F.lit("x"))
+    named = survey.withColumn("uuid", F.concat_ws("-", "uuid"))
+    assert survey.schema["uuid"].nullable and not named.schema["uuid"].nullable
+    for most in (100, 1):
+        old = trips.match_imei(survey, boats, most).select("uuid", "other", "trip_imei", "boat_imei_flag")
+        new = trips.match_imei(named, boats, most)
+        assert rows(new.select(*old.columns)) == rows(old)
+    # The fields meet their devices by record: they are dealt by it and not by digits.
+    dealt = [line for line in new._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    assert "uuid" in dealt[0] and "__record" in dealt[0]
