@@ -63,11 +63,19 @@ def counted(bits: int):
     return run
 
 
+def trusted_texts(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """(text, trusted) of every row.
+
+    The labels grow with the documents: they are merged at any size, never broadcast, so the texts are shuffled once
+    and the shuffle grows as the input does.
+    """
+    return docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left").select("text", "trusted")
+
+
 def ratios(docs: DataFrame, labels: DataFrame, bits: int = BITS) -> np.ndarray:
     """log(trusted / raw) of each bucket, smoothed; zeros without trusted texts."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("trusted", F.lit(True))
-    marked = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", "trusted")
-    rows = marked.mapInArrow(counted(bits), "bucket int, trusted long, raw long")
+    rows = trusted_texts(docs, good).mapInArrow(counted(bits), "bucket int, trusted long, raw long")
     # 2^bits rows at most, whatever the corpus.
     table = rows.groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw")).toArrow()
     trusted, raw = np.zeros(1 << bits), np.zeros(1 << bits)
