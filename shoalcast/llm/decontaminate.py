@@ -164,7 +164,8 @@ def search(block, size: int, columns: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(block.value, size)
-        for batch in chunks(batches, "__text", 4 << 20):
+        # The word and index arrays take dozens of bytes for each byte of text: a shard is a small one.
+        for batch in chunks(batches, "__text"):
             data, offsets = utf8(batch.column("__text"))
             words = Words(LOWER[data], offsets, ALNUM_PARTED)
             start, number = occurrences(words, words.hashes(), phrases)

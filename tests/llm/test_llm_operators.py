@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from shoalcast.llm import chat, decontaminate, language, minhash, packing, pages, quality, secrets, suffix_dedup, toxicity
@@ -402,3 +403,23 @@ def test_empty_tables_give_no_rows(spark):
     assert decontaminate.mark(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
     assert pages.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     assert chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_labels_are_merged_at_any_size(spark):
+    docs = spark.createDataFrame([(1, "good"), (2, "other"), (None, "none"), (1, "again")], "doc_id long, text string")
+    good = spark.createDataFrame([(1, True)], "doc_id long, trusted boolean")
+    found = quality.trusted_texts(docs, good)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([("good", True), ("again", True), ("other", None), ("none", None)], key=str)
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shards_of_decontamination_are_small():
+    class Held:
+        value = [("x", "one two three four five six seven eight nine ten")]
+
+    text = "word " * 100_000 + "one two three four five six seven eight nine ten"
+    columns = {"__text": pa.array([text] * 8), "__words": pa.array([0] * 8), "__spans": pa.array([[]] * 8, pa.list_(pa.null())), "__items": pa.array([[]] * 8, pa.list_(pa.string()))}
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    out = list(decontaminate.search(Held, 10, list(columns))(iter([batch])))
+    assert len(out) >= 4 and sum(b.num_rows for b in out) == 8
+    assert all(items == ["x"] for b in out for items in b.column("__items").to_pylist())
