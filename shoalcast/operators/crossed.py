@@ -98,17 +98,22 @@ def each_level(factors: Sequence[str]) -> Column:
 
 
 def level_links(rows: DataFrame, by: str, factors: Sequence[str]) -> DataFrame:
-    """Curvatures of the levels that occur together: (by, factor, level, other, other_level, weight), both ways."""
+    """Curvatures of the levels that occur together: (by, factor, level, other, other_level, weight), one way."""
     pairs = [
         F.struct(F.lit(a).alias("factor"), F.col(f"level_{a}").alias("level"), F.lit(b).alias("other"), F.col(f"level_{b}").alias("other_level"))
-        for a in factors
-        for b in factors
-        if a != b
+        for i, a in enumerate(factors)
+        for b in factors[i + 1 :]
     ]
     pair = rows.select(by, "w", F.explode(F.array(*pairs)).alias("pair")).select(by, "w", "pair.*")
     return pair.groupBy(by, "factor", "level", "other", "other_level").agg(F.sum("w").alias("weight"))
 
 
+def both_ways(links: DataFrame) -> DataFrame:
+    """Written links and their mirror images: the curvature is symmetric, so half of it is summed, shuffled and written."""
+    names = {"factor": "other", "level": "other_level", "other": "factor", "other_level": "level"}
+    return links.unionByName(links.withColumnsRenamed(names))
+
+
 def solve(links: DataFrame, system: DataFrame, by: str, keys: Sequence[str], iterations: int) -> DataFrame:
     """``x`` of the written table ``system`` (keys, factor, level, size, score): conjugate gradients, scaled by the
     diagonal ``size``, for each of the systems that ``keys`` (``by`` among them) separate."""
@@ -183,7 +188,7 @@ def fit_crossed(
             )
         )
         links = cut_lineage(level_links(rows, by, list(factors)))
-        steps = solve(links, system, by, [by], iterations)
+        steps = solve(both_ways(links), system, by, [by], iterations)
         moved = F.col("value") + F.greatest(F.least(F.col("x"), F.lit(STEP)), F.lit(-STEP))
         effects = cut_lineage(system.join(steps, level).select(*level, moved.alias("value"), (1 / F.col("size")).alias("variance"), "weight"))
         shares = cut_lineage(rows.groupBy(by).agg((F.sum(F.col("chance") * F.col("rows")) / F.sum("rows")).alias("share")))
@@ -232,6 +237,6 @@ def draw_effects(
     scores = every.select(*level, "draw", moves.alias("score"))
     system = cut_lineage(scores.join(sizes, level))
     links = cut_lineage(level_links(rows, by, factors))
-    steps = solve(links, system, by, [by, "draw"], iterations)
+    steps = solve(both_ways(links), system, by, [by, "draw"], iterations)
     drop_written(rows, links)
     return system.join(steps, [*level, "draw"]).select(*level, "draw", (F.col("value") + F.col("x")).alias("value"))
