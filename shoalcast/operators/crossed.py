@@ -111,7 +111,7 @@ def level_links(rows: DataFrame, by: str, factors: Sequence[str]) -> DataFrame:
 def both_ways(links: DataFrame) -> DataFrame:
     """Written links and their mirror images: the curvature is symmetric, so half of it is summed, shuffled and written."""
     names = {"factor": "other", "level": "other_level", "other": "factor", "other_level": "level"}
-    return links.unionByName(links.withColumnsRenamed(names))
+    return links.unionByName(links.select(*[F.col(c).alias(names.get(c, c)) for c in links.columns]))
 
 
 def solve(links: DataFrame, system: DataFrame, by: str, keys: Sequence[str], iterations: int) -> DataFrame:
