@@ -2,11 +2,11 @@
 
 A page is cut into lines (the text of its blocks).  Pages are ordered by host and path, and the nearer of
 the two neighbours on the same host is the partner, copies and near copies of the page skipped; a longest common subsequence aligns the lines
-of both, and shared lines are the site's, not the page's.  Structure corrects lines: what
+of both, for every page, and shared lines are the site's, not the page's.  Structure then corrects lines: what
 stands in menus, site headers, footers, sidebars, notices, adverts, forms and comments goes, and an article or main
 element is the main text even where neighbours quote the same lines.  A class or id that says so makes
 an element the site's too, but not html, body, article and main, nor one that holds an article or main element.
-Differencing decides all other lines, also of pages that mark an article, and all lines of a page that structure would leave empty; a page without such lines is not aligned, as no line of it could change.
+Differencing decides all other lines, also of pages that mark an article, and all lines of a page that structure would leave empty.
 
 Null html is an empty page (text empty), a null url a page of no host, a page alone on its host shares
 nothing.  Pages of one host and path with equal lines have one entry and one partner, whatever their page_id.  Broken markup closes where its parent does.  Other columns are not read.
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoalcast.session import cut_lineage
+from shoalcast.session import cut_lineage, drop_written
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -200,41 +200,44 @@ def digest(line: str) -> int:
     return (xxhash.xxh64_intdigest(line) & ~most | min(len(line), most)) - (1 << 63)
 
 
-def asked(found: list[tuple[str, int]]) -> bool:
-    """Whether any line is left to differencing: unmarked ones, or all if structure leaves none."""
-    return any(part == OPEN for _, part in found) or (bool(found) and all(part == SITE for _, part in found))
+def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map (key, host, path, html) to the line digests of each page."""
+    for batch in batches:
+        found = [[digest(text) for text, _ in lines(h or "")] for h in batch.column("html").to_pylist()]
+        arrays = [*(batch.column(c) for c in ("key", "host", "path")), pa.array(found, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["key", "host", "path", "lines"])
 
 
-def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Map (key, host, path, html) to the line digests of each page and whether any line is open."""
+def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map (page_id, url, key, html) to the lines of each page and the part each belongs to."""
     for batch in batches:
         found = [lines(h or "") for h in batch.column("html").to_pylist()]
-        undecided = [asked(f) for f in found]
-        arrays = [batch.column(c) for c in ("key", "host", "path")]
-        arrays += [pa.array([[digest(text) for text, _ in f] for f in found], pa.list_(pa.int64())), pa.array(undecided)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["key", "host", "path", "lines", "undecided"])
-
-
-def extracted(decide: bool):
-    """Map pages to their text: those structure settles, or those the partner's lines decide."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            partners = batch.column("partner").to_pylist() if decide else [None] * batch.num_rows
-            for page_id, url, page, partner in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), partners):
-                found = lines(page or "")
-                if asked(found) != decide:
-                    continue
-                shared = common([digest(text) for text, _ in found], partner or []) if decide else [False] * len(found)
-                asks = OPEN if any(part != SITE for _, part in found) else SITE
-                text = " ".join(text for (text, part), gone in zip(found, shared) if part == ARTICLE or (part == asks and not gone))
-                out.append((page_id, url, text, len(text)))
-            columns = list(zip(*out)) or [()] * 4
-            kinds = [batch.schema.field("page_id").type, pa.string(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["page_id", "url", "text", "n_chars"])
-
-    return run
+        arrays = [batch.column(c) for c in ("page_id", "url", "key")]
+        arrays += [pa.array([[text for text, _ in f] for f in found], pa.list_(pa.string()))]
+        arrays += [pa.array([[part for _, part in f] for f in found], pa.list_(pa.int8()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "key", "texts", "parts"])
+
+
+def differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map (host, path, copy, lines, partner) to which of the lines the partner shares."""
+    for batch in batches:
+        shared = [common(own, partner or []) for own, partner in zip(*(batch.column(c).to_pylist() for c in ("lines", "partner")))]
+        arrays = [*(batch.column(c) for c in ("host", "path", "copy")), pa.array(shared, pa.list_(pa.bool_()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["host", "path", "copy", "shared"])
+
+
+def corrected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map (page_id, url, texts, parts, shared) to the main text: lines that are not shared, structure put right."""
+    for batch in batches:
+        out, size = [], []
+        for texts, parts, shared in zip(*(batch.column(c).to_pylist() for c in ("texts", "parts", "shared"))):
+            asks = OPEN if any(part != SITE for part in parts) else SITE
+            text = " ".join(t for t, part, gone in zip(texts, parts, shared) if part == ARTICLE or (part == asks and not gone))
+            out.append(text)
+            size.append((len(text), len(texts), sum(shared)))
+        arrays = [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())]
+        arrays += [pa.array([s[i] for s in size], pa.int64()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text", "n_chars", "n_lines", "n_shared"])
 
 
 def almost_equal(one: Column, two: Column) -> Column:
@@ -249,20 +252,20 @@ def almost_equal(one: Column, two: Column) -> Column:
 
 
 def entries(pages: DataFrame) -> DataFrame:
-    """key, host, path, copy (what equal line lists of a path have in common), lines, undecided."""
-    schema = "key long, host string, path string, lines array<long>, undecided boolean"
+    """key, host, path, copy (what equal line lists of a path have in common), lines."""
+    schema = "key long, host string, path string, lines array<long>"
     found = pages.select("key", "host", "path", "html").mapInArrow(listed, schema)
     return found.withColumn("copy", F.xxhash64("lines"))
 
 
-def partners(pages: DataFrame) -> DataFrame:
-    """host, path, copy and partner (line digests of the nearest page of the host that is no copy) of the
-    entries with undecided lines.
+def partners(found: DataFrame) -> DataFrame:
+    """host, path, copy, lines and partner (line digests of the nearest page of the host that is no copy) of
+    the distinct entries.
 
     Entries are range partitioned by host and path, so a host of any size spreads; the rows at the
     edges of a part see the next part's first or last row, and what lies behind a run of copies there.
     """
-    one_each = entries(pages).groupBy("host", "path", "copy").agg(F.first("lines").alias("lines"), F.max("undecided").alias("undecided"))
+    one_each = found.groupBy("host", "path", "copy").agg(F.first("lines").alias("lines"))
     ranged = one_each.repartitionByRange("host", "path", "copy")
     rows = cut_lineage(ranged.sortWithinPartitions("host", "path", "copy").withColumn("part", F.spark_partition_id()))
     place = F.struct("host", "path", "copy", "lines")
@@ -291,7 +294,7 @@ def partners(pages: DataFrame) -> DataFrame:
         F.lead("first").over(over).alias("after_part"),
         F.last("first_after", ignorenulls=True).over(next_).alias("after_run"),
     )
-    near = near.where("undecided").join(edges, "part")
+    near = near.join(edges, "part")
 
     def other(c: str):
         """The place, unless it is on another host or holds a copy."""
@@ -307,11 +310,12 @@ def partners(pages: DataFrame) -> DataFrame:
     near = near.withColumn("db", distance("before")).withColumn("da", distance("after"))
     back = F.col("db").isNotNull() & (F.col("da").isNull() | (F.col("db") <= F.col("da")))
     chosen = F.when(back, F.col("before.lines")).when(F.col("da").isNotNull(), F.col("after.lines"))
-    return near.select("host", "path", "copy", chosen.alias("partner"))
+    return near.select("host", "path", "copy", "lines", chosen.alias("partner"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars (code points) of every row of ``pages`` (page_id, url, html)."""
+    """page_id, url, text, n_chars (code points), n_lines and n_shared (lines the partner has too, before structure
+    corrects any) of every row of ``pages`` (page_id, url, html)."""
     url = F.coalesce("url", F.lit(""))
     rest = F.regexp_replace(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://", "")
     keyed = pages.select(
@@ -323,11 +327,13 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1).alias("path"),
     )
     id_type = pages.schema["page_id"].dataType.simpleString()
-    schema = f"page_id {id_type}, url string, text string, n_chars long"
-    settled = keyed.select("page_id", "url", "html").mapInArrow(extracted(False), schema)
-    near = cut_lineage(partners(keyed))
-    copies = entries(keyed).where("undecided").select("key", "host", "path", "copy")
+    # Written first: partners are sought among the entries, and each page takes its partner's lines by them.
+    found = cut_lineage(entries(keyed))
+    shared = partners(found).mapInArrow(differenced, "host string, path string, copy long, shared array<boolean>")
     # Rows of one key are equal, so each key has one partner; copies of a page get theirs by key.
-    by_key = copies.join(near, ["host", "path", "copy"]).select("key", "partner").dropDuplicates(["key"])
-    decided = keyed.join(by_key, "key").select("page_id", "url", "html", "partner").mapInArrow(extracted(True), schema)
-    return settled.union(decided)
+    by_key = found.select("key", "host", "path", "copy").join(shared, ["host", "path", "copy"]).select("key", "shared").dropDuplicates(["key"])
+    by_key = cut_lineage(by_key)
+    drop_written(found)
+    texts = keyed.mapInArrow(marked, f"page_id {id_type}, url string, key long, texts array<string>, parts array<byte>")
+    schema = f"page_id {id_type}, url string, text string, n_chars long, n_lines long, n_shared long"
+    return texts.join(by_key.hint("merge"), "key").select("page_id", "url", "texts", "parts", "shared").mapInArrow(corrected, schema)

@@ -340,6 +340,17 @@ def test_site_words_take_no_element_that_holds_the_text(spark):
     assert all(got[50 + i] == f"Own {i} words" for i in range(4))
 
 
+def test_pages_that_mark_all_lines_are_differenced_too(spark):
+    page = "<nav>Menu</nav><article><p>Same opening</p><p>Own words {0}</p></article><footer>Foot</footer>"
+    rows = [(i, f"http://h.example/a/{i}", page.format(i)) for i in range(6)]
+    rows += [(10, "http://h.example/a/3?copy", page.format(3)), (11, "http://alone.example/", page.format(11)), (12, None, None)]
+    found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {r["page_id"]: (r["text"], r["n_lines"], r["n_shared"]) for r in found}
+    # The partner has three of the four lines; structure protects one and removes the menu and the footer.
+    assert all(got[i] == (f"Same opening Own words {i}", 4, 3) for i in range(6))
+    assert got[10] == got[3] and got[11] == ("Same opening Own words 11", 4, 0) and got[12] == ("", 0, 0)
+
+
 def test_alignment_is_a_longest_common_subsequence():
     rnd = random.Random(3)
     for _ in range(500):
