@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -284,6 +285,21 @@ def test_copies_of_a_finding_count_once_against_the_bound(spark, monkeypatch):
     assert plain == [500.0] and 60 <= len(secret) <= 140 and set(secret) <= {1.0, 501.0}
 
 
+def test_fit_holds_few_bytes_an_entry():
+    rows, each = 4000, 400
+    feature = np.random.default_rng(5).integers(0, 1000, (rows, each)).astype(np.int32).ravel()
+    row, y = np.repeat(np.arange(rows, dtype=np.int32), each), np.arange(rows) % 2.0
+    none = np.zeros(0, np.int32)
+    tracemalloc.start()
+    w, _ = toxicity.fit_logistic(y, feature, row, none, none.astype(np.int8), none, 1000, 1e-3, 1.0, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(w) == 1000 and peak < 40 * len(row)
+    whole, parts = (toxicity.summed_by(feature, 1000, most) for most in (1 << 30, 5000))
+    value = np.arange(len(feature)) / 7
+    assert np.array_equal(whole[1](lambda some: value[some]), parts[1](lambda some: value[some]))
+
+
 def test_pages_keep_the_article_and_drop_shared_lines(spark):
     rows = [(i, f"http://h.example/a/{i}", f"<div>Menu one</div><p>Own text {i} &amp; more</p><div>Foot</div>") for i in range(12)]
     article = '<nav>x</nav><article><h1>T</h1><p><b>One<br>two<p>three</p><div class="comments">no</div></article><footer>f</footer><script>var t="</p>";</script>'
