@@ -285,6 +285,37 @@ def test_copies_of_a_finding_count_once_against_the_bound(spark, monkeypatch):
     assert plain == [500.0] and 60 <= len(secret) <= 140 and set(secret) <= {1.0, 501.0}
 
 
+def test_levels_tell_pairs_that_share_a_key_and_half():
+    rnd = random.Random(11)
+    for kind in (suffix_dedup.ENTRY, suffix_dedup.STRING):
+        payloads, least, kinds = [], {}, {}
+        for _ in range(9):
+            # Keys of few values and pairs that differ in their upper half, their lower one or both.
+            rows = {(rnd.randrange(4), rnd.randrange(3) << 32 | rnd.randrange(3)): rnd.randrange(50) for _ in range(20)}
+            if kind is suffix_dedup.STRING:
+                rows = {(0, pair): doc for (_, pair), doc in rows.items()}
+            batch = np.array([(*(k if kind is suffix_dedup.ENTRY else k[1:]), d) for k, d in sorted(rows.items())], kind)
+            payloads.append((batch, sorted(rows.items())))
+            for k, d in rows.items():
+                least[k] = min(d, least.get(k, d))
+                kinds.setdefault(k[0], set()).add(k)
+        group = pa.table({"block": list(range(9)), "slot": [0] * 9, "payload": pa.array([b.tobytes() for b, _ in payloads], pa.binary())})
+        for status, (_, rows) in zip(suffix_dedup.meet(group, kind).column("status").to_pylist(), payloads):
+            differing = [kind is suffix_dedup.ENTRY and len(kinds[k[0]]) > 1 for k, _ in rows]
+            assert list(status) == [suffix_dedup.EARLIER * (least[k] < d) + suffix_dedup.DIFFERING * x for (k, d), x in zip(rows, differing)]
+
+
+def test_string_batches_are_in_the_order_of_their_pairs():
+    pair = np.random.default_rng(2).integers(0, 1 << 63, 5000, dtype=np.uint64).repeat(2)
+    doc = np.arange(len(pair))[::-1].copy()
+    for kind in (suffix_dedup.ENTRY, suffix_dedup.STRING):
+        found = suffix_dedup.Contexts(pair, pair, doc, 3, kind)
+        assert len(found.entries) == 5000 and (found.entries["pair"][found.of] == pair).all() and (found.entries["doc"][found.of] == doc - doc % 2).all()
+        for _, payload in found.messages():
+            level = suffix_dedup.Level.of(np.frombuffer(payload, kind))
+            assert (level.high[1:] >= level.high[:-1]).all() and (level.places(level) == np.arange(len(level))).all()
+
+
 def test_fit_holds_few_bytes_an_entry():
     rows, each = 4000, 400
     feature = np.random.default_rng(5).integers(0, 1000, (rows, each)).astype(np.int32).ravel()
