@@ -179,6 +179,22 @@ def test_species_wide(spark):
     assert got["t"] == ("x", 1.0, "y", 1.0, "z", 0.5)
 
 
+def test_species_columns_come_with_the_trips(spark, rows):
+    raw = survey(spark, [{**BASE, "uuid": name, "trip_group_imei": digits} for name, digits in [("r", None), ("r", None), ("s", "12345"), ("t", "x"), ("u", None)]])
+    data = [
+        ("r", "a", "food", 3.0, None), ("r", "a", "sale", 2.0, "species_number__zero"), ("r", "0", None, None, None), ("r", "d", None, None, None),
+        ("s", "a", "food", None, None), ("t", "x", "sale", 1.0, None), ("t", "x", None, 1.0, None), ("t", "z", "sale", 0.5, None), (None, "z", "food", 1.0, None),
+    ]
+    lines = spark.createDataFrame(data, "record_id string, species_code string, use string, weight double, species_flags string")
+    apart = catch.widen_trip_catch(trips.clean_trips(raw, lines, boats(spark)), lines)
+    once = catch.widen_trip_catch(trips.clean_trips(raw, lines, boats(spark), n_top_species=2))
+    assert once.columns == apart.columns and once.schema.simpleString() == apart.schema.simpleString()
+    assert rows(once) == rows(apart) and once.count() >= 5
+    # The lines are read once, where trips and species columns are made apart twice.
+    leaves = lambda df: df._jdf.queryExecution().optimizedPlan().collectLeaves().length()
+    assert leaves(once) == leaves(apart) - 1
+
+
 def wide_trips(spark):
     data = [
         (f"r{i}", "boat" if i % 5 else "land", date(2020, 1 + i % 3, 1 + i % 27), f"s{i % 2}", "GN" if i % 3 else "HL", "1",
@@ -235,3 +251,17 @@ def test_devices_are_matched_alone_where_every_record_has_an_id(spark, rows):
     # The fields meet their devices by record: they are dealt by it and not by digits.
     dealt = [line for line in new._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
     assert "uuid" in dealt[0] and "__record" in dealt[0]
+
+
+def test_typed_devices_are_parsed_once(spark, rows):
+    boats = spark.createDataFrame([("350000000012345",), ("350000000077777",)], "imei_long string")
+    typed = [("a", "-12345"), ("b", "7777.0"), ("c", "77777"), ("d", None), ("e", "x")]
+    survey = spark.createDataFrame(typed, "id string, trip_group_imei string").select(F.concat_ws("-", "id").alias("uuid"), "trip_group_imei")
+    for most in (100, 1):
+        matched = trips.match_imei(survey, boats, most)
+        assert rows(matched.select("uuid", "trip_imei")) == [
+            ("a", "350000000012345"), ("b", None), ("c", "350000000077777"), ("d", None), ("e", None)
+        ]
+        # The test for digits is not pushed down to the text, where it would repeat the parsing.
+        plan = matched._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not [line for line in plan if "Filter" in line and "RLIKE" in line]
