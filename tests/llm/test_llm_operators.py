@@ -316,6 +316,22 @@ def test_string_batches_are_in_the_order_of_their_pairs():
             assert (level.high[1:] >= level.high[:-1]).all() and (level.places(level) == np.arange(len(level))).all()
 
 
+def test_messages_are_packed_without_loss():
+    rnd = np.random.default_rng(3)
+    for kind, most in ((suffix_dedup.ENTRY, 12.5), (suffix_dedup.STRING, 9)):
+        for n in (1, 20_000):
+            entries = np.empty(n, kind)
+            entries["pair"], entries["doc"] = np.sort(rnd.integers(0, 1 << 64, n, dtype=np.uint64)), rnd.integers(-300, 300, n)
+            entries["doc"][:2] = suffix_dedup.NO_ID if n == 1 else (suffix_dedup.NO_ID, np.iinfo(np.int64).min)
+            entries["doc"][2:] += 10**12
+            if kind is suffix_dedup.ENTRY:
+                entries["key"] = np.sort(rnd.integers(0, 1 << 32, n).astype(np.uint32))
+                entries["pair"] = rnd.permutation(entries["pair"])
+            payload = suffix_dedup.packed(entries)
+            assert (suffix_dedup.unpacked(payload, kind) == entries).all()
+            assert n == 1 or len(payload) < most * n
+
+
 def test_fit_holds_few_bytes_an_entry():
     rows, each = 4000, 400
     feature = np.random.default_rng(5).integers(0, 1000, (rows, each)).astype(np.int32).ravel()
