@@ -17,7 +17,7 @@ from shoalcast.functions.numeric import from_cube_root
 from shoalcast.functions.text import map_codes, strip_suffix
 from shoalcast.operators.aggregates import interval_summary, totals_by_draw
 from shoalcast.operators.crossed import CrossedFit, predict_crossed
-from shoalcast.operators.draws import with_draws
+from shoalcast.operators.draws import drawn_sums, with_draws
 from shoalcast.operators.joins import tagged_union
 from shoalcast.operators.reshape import expand_array, unpivot_columns
 from shoalcast.operators.shrinkage import (
@@ -29,7 +29,7 @@ from shoalcast.operators.shrinkage import (
     shrunk_means,
     shrunk_rates,
     shrunk_shares,
-    sum_columns,
+    summed_columns,
 )
 from shoalcast.schemas import BOAT_CODES
 from shoalcast.session import cut_lineage
@@ -50,14 +50,7 @@ class Draws:
 
 def _drawn_cells(cells: DataFrame, keys: Sequence[str], draws: int, hash_name: str) -> DataFrame:
     """Days and trips per key and draw; written once, as cells and hyper-parameters read them."""
-    narrow = cells.select("individual_boat", *keys, "n_days", "n_trips")
-    resampled = with_draws(narrow, "individual_boat", draws, hash_name)
-    return cut_lineage(
-        resampled.groupBy(*keys, "draw").agg(
-            F.sum(F.col("n_days") * F.col("draw_weight")).alias("n_days"),
-            F.sum(F.col("n_trips") * F.col("draw_weight")).alias("n_trips"),
-        )
-    )
+    return cut_lineage(drawn_sums(cells, "individual_boat", keys, draws, {c: F.col(c) for c in ("n_days", "n_trips")}, hash_name))
 
 
 def activity_draws(cells: DataFrame, draws: int, hash_name: str = "xxhash64") -> Draws:
@@ -137,12 +130,8 @@ def resampled_sums(
     pooled: DataFrame, keys: Sequence[str], draws: int, hash_name: str = "xxhash64"
 ) -> DataFrame:
     """One resample of trips for every estimate: sizes and sums by keys and draw, written once."""
-    resampled = with_draws(pooled.select("record_id", *keys, WEIGHT, VALUE, "for_gear"), "record_id", draws, hash_name)
-    weight = F.col("draw_weight")
-    in_gear = F.sum(F.when(F.col("for_gear"), weight)).alias("n_gear")
-    return cut_lineage(
-        resampled.groupBy(*keys, "draw").agg(in_gear, *sum_columns(WEIGHT, weight), *sum_columns(VALUE, weight))
-    )
+    sums = {"n_gear": F.when(F.col("for_gear"), F.lit(1.0))} | summed_columns(WEIGHT) | summed_columns(VALUE)
+    return cut_lineage(drawn_sums(pooled, "record_id", keys, draws, sums, hash_name))
 
 
 def attach_draws(grid: DataFrame, draws: Draws, out: str) -> DataFrame:
