@@ -18,21 +18,27 @@ is resampled with its own effect and its penalty, so a factor of the unit itself
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from shoalcast.functions.numeric import inverse_logit
-from shoalcast.operators.draws import with_draws
+from shoalcast.operators.draws import drawn_sums
+from shoalcast.operators.joins import fits_broadcast
 from shoalcast.session import cut_lineage, drop_written
 
 INTERCEPT = "intercept"
 # Longest step of an effect, and the least variance of a factor.
 STEP = 2.0
 LEAST_VARIANCE = 1e-4
+# Levels beside the units' own that a draw may hold as arrays, as many as coefficients of a GLM; more are kept in tables.
+MOST_LEVELS = 4096
 
 
 @dataclass
@@ -218,25 +224,160 @@ def predict_crossed(fit: CrossedFit, grid: DataFrame, factors: Sequence[str], ou
 def draw_effects(
     fit: CrossedFit, df: DataFrame, n: str, k: str, unit: str, draws: int, iterations: int = 8, hash_name: str = "xxhash64"
 ) -> DataFrame:
-    """Effects by draw (by, factor, level, draw, value): one Newton step of each bootstrap resample of ``unit``."""
+    """Effects by draw (by, factor, level, draw, value): one Newton step of each bootstrap resample of ``unit``.
+
+    Levels of the unit itself have no score.  Where the others are few, as many as coefficients of a model, the unit's
+    are worked out from them wherever they are met (``UnitSolver``), so no table of units by draws is made.
+    """
     by, factors = fit.by, list(fit.factors)
     level = [by, "factor", "level"]
     rows = with_levels(df.dropna(subset=[by, unit, n, k]).where(F.col(n) > 0), fit.factors)
     rows = rows.select(by, F.col(unit).cast("string").alias("unit"), F.col(n).cast("double").alias("n"), F.col(k).cast("double").alias("k"), *[f"level_{f}" for f in factors])
     rows = scored(rows.withColumn("rows", F.lit(1.0)), by, factors, fit.effects, fit.shares)
     rows = cut_lineage(rows.select(by, "unit", "w", "r", *[f"level_{f}" for f in factors]))
+    own = [f for f, columns in fit.factors.items() if columns == [unit]]
+    others = [f for f in factors if f not in own]
     # Scores by unit first: a unit has the same weight in all its rows.
-    by_unit = rows.select(by, "unit", "r", each_level(factors).alias("l")).groupBy(by, "unit", "l.factor", "l.level").agg(F.sum("r").alias("r"))
-    resampled = with_draws(by_unit, "unit", draws, hash_name)
-    drawn = resampled.groupBy(*level, "draw").agg(F.sum(F.col("r") * F.col("draw_weight")).alias("drawn"))
+    by_unit = rows.select(by, "unit", "w", "r", each_level(others).alias("l")).groupBy(by, "unit", "l.factor", "l.level").agg(F.sum("r").alias("r"), F.sum("w").alias("w"))
+    by_unit = cut_lineage(by_unit)
+    drawn = drawn_sums(by_unit, "unit", level, draws, {"drawn": F.col("r")}, hash_name)
     base = by_unit.groupBy(*level).agg(F.sum("r").alias("base"))
     every = base.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw")).join(drawn, [*level, "draw"], "left")
+    scores = every.select(*level, "draw", (F.coalesce("drawn", F.lit(0.0)) - F.col("base")).alias("score"))
     sizes = fit.effects.join(fit.precisions, [by, "factor"]).select(*level, "value", (F.col("weight") + F.col("precision")).alias("size"))
-    own = [f for f, columns in fit.factors.items() if columns == [unit]]
-    moves = F.when(F.col("factor").isin(own), 0.0).otherwise(F.coalesce("drawn", F.lit(0.0)) - F.col("base"))
-    scores = every.select(*level, "draw", moves.alias("score"))
     system = cut_lineage(scores.join(sizes, level))
+    few = len(own) == 1 and fits_broadcast(system.where(F.col("draw") == 1), MOST_LEVELS)
+    if few:
+        solver = UnitSolver(by, own[0], system, cut_lineage(level_links(rows, by, others)), by_unit, sizes, draws)
+        drop_written(rows, by_unit)
+        return solver.solved(iterations)
+    if own:
+        still = rows.select(by, each_level(own).alias("l")).select(by, "l.*").distinct()
+        still = still.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("draw"), F.lit(0.0).alias("score"))
+        system = cut_lineage(system.unionByName(still.join(sizes, level)))
     links = cut_lineage(level_links(rows, by, factors))
     steps = solve(both_ways(links), system, by, [by, "draw"], iterations)
-    drop_written(rows, links)
+    drop_written(rows, by_unit, links)
     return system.join(steps, [*level, "draw"]).select(*level, "draw", (F.col("value") + F.col("x")).alias("value"))
+
+
+class UnitSolver:
+    """The conjugate gradients of ``solve`` for all draws, with the levels of the units left out of the tables.
+
+    A unit's levels start at 0 and are linked to other levels alone, so after any number of iterations their state
+    follows from the other levels' directions so far.  Each iteration is one job over the units (their links, one row
+    each): it runs a unit's iterations again for all draws at once and adds up what the unit gives the other levels and
+    the sums.  The other levels, ``MOST_LEVELS`` at most, are arrays of levels x draws that go out with the job.
+    """
+
+    def __init__(self, by: str, own: str, system: DataFrame, links: DataFrame, by_unit: DataFrame, sizes: DataFrame, draws: int):
+        self.by, self.own, self.draws, self.spark = by, own, draws, system.sparkSession
+        level = [by, "factor", "level"]
+        found = system.where(F.col("draw") == 1).select(*level, "size", "value").orderBy(*level).toArrow()
+        names = [(r[by], r["factor"], r["level"]) for r in found.to_pylist()]
+        self.levels, place = found.select(level), {name: i for i, name in enumerate(names)}
+        self.size, self.value = (found.column(c).to_numpy() for c in ("size", "value"))
+        groups = {b: i for i, b in enumerate(dict.fromkeys(b for b, _, _ in names))}
+        self.group, self.groups = np.array([groups[b] for b, _, _ in names], np.int64), len(groups)
+        self.score = np.zeros((len(names), draws))
+        numbered = self.spark.createDataFrame([(*name, i) for name, i in place.items()], system.select(*level).schema.add("at", IntegerType()))
+        scores = system.join(F.broadcast(numbered), level).select("at", "draw", "score").toArrow()
+        self.score[scores.column("at").to_numpy(), scores.column("draw").to_numpy() - 1] = scores.column("score").to_numpy()
+        ends = numbered.withColumnsRenamed({"factor": "other", "level": "other_level", "at": "to"})
+        pairs = links.join(F.broadcast(numbered), level).join(F.broadcast(ends), [by, "other", "other_level"]).select("at", "to", "weight").toArrow()
+        drop_written(links)
+        self.links = [pairs.column(c).to_numpy() for c in ("at", "to", "weight")]
+        linked = by_unit.join(F.broadcast(numbered), level).groupBy(by, "unit").agg(F.collect_list(F.struct("at", "w")).alias("l"))
+        mine = sizes.where(F.col("factor") == own).select(by, F.col("level").alias("unit"), "value", "size")
+        self.units = cut_lineage(linked.join(mine, [by, "unit"]).select(by, "unit", "value", "size", F.col("l.at").alias("at"), F.col("l.w").alias("w")))
+
+    def solved(self, iterations: int) -> DataFrame:
+        size, group = self.size[:, None], self.group
+        x, r, p = np.zeros_like(self.score), self.score.copy(), self.score / size
+        past, turns = [], []
+        for _ in range(iterations):
+            past.append(p)
+            pull, sums = self._met(past, turns)
+            q = size * p + pull
+            for a, b in ((0, 1), (1, 0)):
+                np.add.at(q, self.links[a], self.links[2][:, None] * p[self.links[b]])
+            for total, terms in zip(sums, (r * r / size, p * q, r * q / size, q * q / size)):
+                np.add.at(total, group, terms)
+            rr, pq, rq, qq = sums
+            ahead = np.divide(rr, pq, out=np.zeros_like(rr), where=pq != 0)
+            left = np.maximum(rr - 2 * ahead * rq + ahead * ahead * qq, 0.0)
+            turn = np.divide(left, rr, out=np.zeros_like(rr), where=rr != 0)
+            turns.append((ahead, turn))
+            x, r = x + ahead[group] * p, r - ahead[group] * q
+            p = r / size + turn[group] * p
+        return self._table(x).unionByName(self._units(past, turns))
+
+    def _table(self, x: np.ndarray) -> DataFrame:
+        count = len(x)
+        moved = (self.value[:, None] + x).ravel()
+        names = self.levels.take(pa.array(np.repeat(np.arange(count), self.draws)))
+        numbers = pa.array(np.tile(np.arange(1, self.draws + 1, dtype=np.int32), count))
+        return self.spark.createDataFrame(names.append_column("draw", numbers).append_column("value", pa.array(moved)))
+
+    def _met(self, past: list[np.ndarray], turns: list) -> tuple[np.ndarray, list[np.ndarray]]:
+        """What the units give each level, and their part of the four sums of each group and draw."""
+        levels, groups, draws, group = len(self.size), self.groups, self.draws, self.group
+
+        def run(batches):
+            pull, sums = np.zeros((levels, draws)), np.zeros((4, groups, draws))
+            for size, at, w, starts, _ in unit_chunks(batches):
+                r, p, q, _ = unit_state(size, at, w, starts, group, past, turns)
+                owner = np.repeat(np.arange(len(size)), np.diff(np.append(starts, len(at))))
+                order = np.argsort(at, kind="stable")
+                levels_met, first = np.unique(at[order], return_index=True)
+                pull[levels_met] += np.add.reduceat(w[order, None] * p[owner[order]], first, axis=0)
+                for total, terms in zip(sums, (r * r / size, p * q, r * q / size, q * q / size)):
+                    np.add.at(total, group[at[starts]], terms)
+            every = np.concatenate([pull, *sums])
+            place, draw = np.nonzero(every)
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(draw.astype(np.int32)), pa.array(every[place, draw])], names=["place", "draw", "value"])
+
+        met = self.units.mapInArrow(run, "place int, draw int, value double").groupBy("place", "draw").agg(F.sum("value").alias("value")).toArrow()
+        every = np.zeros((levels + 4 * groups, draws))
+        every[met.column("place").to_numpy(), met.column("draw").to_numpy()] = met.column("value").to_numpy()
+        return every[:levels], [every[levels + i * groups : levels + (i + 1) * groups] for i in range(4)]
+
+    def _units(self, past: list[np.ndarray], turns: list) -> DataFrame:
+        """The units' own levels by draw, made where they are read."""
+        draws, group, by = self.draws, self.group, self.by
+
+        def run(batches):
+            for size, at, w, starts, batch in unit_chunks(batches):
+                x = unit_state(size, at, w, starts, group, past, turns)[3]
+                rows = pa.array(np.repeat(np.arange(len(size)), draws))
+                moved = (batch.column("value").to_numpy()[:, None] + x).ravel()
+                numbers = pa.array(np.tile(np.arange(1, draws + 1, dtype=np.int32), len(size)))
+                yield pa.RecordBatch.from_arrays([batch.column(by).take(rows), batch.column("unit").take(rows), numbers, pa.array(moved)], names=[by, "level", "draw", "value"])
+
+        kind = self.units.schema[by].dataType.simpleString()
+        made = self.units.mapInArrow(run, f"`{by}` {kind}, level string, draw int, value double")
+        return made.select(by, F.lit(self.own).alias("factor"), "level", "draw", "value")
+
+
+def unit_chunks(batches: Iterator[pa.RecordBatch], most: int = 500) -> Iterator[tuple]:
+    """(size, at, w, starts, batch) of a few hundred units at a time: their levels and curvatures one after the other."""
+    for whole in batches:
+        for first in range(0, whole.num_rows, most):
+            batch = whole.slice(first, most)
+            at, w = (batch.column(c) for c in ("at", "w"))
+            starts = np.append(0, np.cumsum(at.value_lengths().to_numpy(zero_copy_only=False)))[:-1]
+            yield batch.column("size").to_numpy()[:, None], at.flatten().to_numpy(), w.flatten().to_numpy(), starts, batch
+
+
+def unit_state(size: np.ndarray, at: np.ndarray, w: np.ndarray, starts: np.ndarray, group: np.ndarray, past: list, turns: list) -> tuple:
+    """(r, p, q, x) of units x draws at the last of the directions ``past``, after the steps ``turns`` made so far."""
+    mine = group[at[starts]]
+    r = p = x = np.zeros((len(starts), past[0].shape[1]))
+    q = r
+    for i, ahead in enumerate(past):
+        q = size * p + np.add.reduceat(w[:, None] * ahead[at], starts, axis=0)
+        if i < len(turns):
+            step, turn = turns[i][0][mine], turns[i][1][mine]
+            x, r = x + step * p, r - step * q
+            p = r / size + turn * p
+    return r, p, q, x

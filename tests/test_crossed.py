@@ -107,3 +107,27 @@ def test_draws_have_the_shape_of_a_grid(planted, spark):
     out = crossed.predict_crossed(fit, grid, ["place", "period", "place_period", "season"], draws=drawn)
     assert out.count() == 4 * grid.count()
     assert out.where("estimate is null or estimate <= 0 or estimate >= 1").count() == 0
+
+
+@pytest.mark.parametrize("name", ["md5", "xxhash64"])
+def test_units_worked_out_are_those_of_the_tables(planted, spark, monkeypatch, name):
+    """The draws by arrays, units left out, against the same iterations on tables of levels by draws."""
+    _, frame, fit = planted
+    few = frame.where("boat % 5 = 0")
+    found = []
+    for most in (crossed.MOST_LEVELS, 0):
+        monkeypatch.setattr(crossed, "MOST_LEVELS", most)
+        drawn = crossed.draw_effects(fit, few, "n", "k", "boat", 5, 3, name)
+        found.append({(r["code"], r["factor"], r["level"], r["draw"]): r["value"] for r in drawn.collect()})
+    by_units, by_tables = found
+    assert by_units.keys() == by_tables.keys() and {f for _, f, _, _ in by_units} == {crossed.INTERCEPT, *FACTORS}
+    assert max(abs(by_units[k] - by_tables[k]) for k in by_tables) < 1e-9
+    boats = [k for k in by_tables if k[1] == "boat"]
+    assert max(abs(by_tables[k] - by_tables[(*k[:3], 1)]) for k in boats) > 1e-3
+
+
+def test_effects_of_units_are_not_made_for_other_factors(planted):
+    _, frame, fit = planted
+    drawn = crossed.draw_effects(fit, frame.limit(50), "n", "k", "boat", 2, 1)
+    plan = drawn.where("factor = 'place'")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
