@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoalcast.operators import draws, resample
+from shoalcast.plans import prices
 
 
 def test_digests_are_md5():
@@ -46,3 +47,23 @@ def test_simulated_sums_are_those_of_the_rows(spark, name):
     # No row is made for each draw before the sums.
     plan = summed._jdf.queryExecution().optimizedPlan().toString()
     assert name != "md5" or "Generate" not in plan
+
+
+def test_price_intervals_by_arrays_are_those_of_the_joins(spark, monkeypatch):
+    codes = ["a", "b", "none", None, "new"]
+    rnd = random.Random(8)
+    rows = [(str(i), *[x for _ in range(3) for x in (rnd.choice(codes), rnd.choice([0.0, None, -1.0, 0.5, 3.0]))]) for i in range(200)]
+    rows += [("nan", "a", float("nan"), "b", 1.0, None, None), ("inf", "a", float("inf"), "b", 1.0, None, None)]
+    wide = spark.createDataFrame(rows, "record_id string, " + ", ".join(f"species_code_{s} string, weight_{s} double" for s in prices.SLOTS))
+    # Draw 3 has no estimate of b, draw 4 none at all.
+    estimates = spark.createDataFrame([("a", d, 0.1 * d) for d in (1, 2, 3, 5)] + [("b", d, -0.2 * d) for d in (1, 2, 5)], "species_code string, draw int, estimate double")
+    overall = spark.createDataFrame([(d, 0.3 * d) for d in (1, 2, 3, 5)], "draw int, overall double")
+    found = []
+    for most in (prices.MOST_SPECIES, 0):
+        monkeypatch.setattr(prices, "MOST_SPECIES", most)
+        for width in (0.95, 0.3):
+            out = prices.price_interval(wide, estimates, overall, 5, width)
+            assert (most == 0) == ("ArrowEvalPython" not in out._jdf.queryExecution().optimizedPlan().toString())
+            found.append({r["record_id"]: tuple(None if v is None else f"{v:.9g}" for v in (r["price_lower"], r["price_upper"])) for r in out.collect()})
+    assert found[0] == found[2] and found[1] == found[3] and len(found[0]) == 202
+    assert any(v[0] is not None for v in found[1].values()) and any(v[0] is None for v in found[1].values())
